@@ -72,7 +72,7 @@ def snapshot_millis(snapshot_text: Column, as_of: Column | None = None) -> Colum
 
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since the epoch of a zone-less timestamp read as UTC, in any session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    return F.unix_micros(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
 
 
 DURATION_UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "second": 1, "minute": 60, "hour": 3600}

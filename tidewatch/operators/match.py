@@ -106,7 +106,14 @@ class FieldColumns:
                 guard = guard & (F.col("schema_version") == version)
             columns[out] = F.when(guard, value) if source else value
         df = df.withColumns(columns) if columns else df
-        numbers = {out: number(F.col(of)) for of, out in self.numbers.items()}
+        return self._with_numbers(df, set(columns))
+
+    def extract_profile(self, df: DataFrame) -> DataFrame:
+        """Numeric readings of profile fields, once the profile is joined."""
+        return self._with_numbers(df, set(self.profile.values()))
+
+    def _with_numbers(self, df: DataFrame, texts: set[str]) -> DataFrame:
+        numbers = {out: number(F.col(of)) for of, out in self.numbers.items() if of in texts}
         return df.withColumns(numbers) if numbers else df
 
 

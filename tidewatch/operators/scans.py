@@ -27,11 +27,12 @@ def with_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 def prior_max(
     df: DataFrame, keys: list[str], order: str, value: Column, out: str,
-    chunk_rows: int = CHUNK_ROWS, descending: bool = False,
+    chunk_rows: int = CHUNK_ROWS, descending: bool = False, initial: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``out``: the largest non-null ``value`` of the key strictly before (after, if descending) the row.
 
-    ``order`` is a unique whole number within the key, such as an arrival sequence.
+    ``order`` is a unique whole number within the key, such as an arrival sequence. ``initial``
+    (keys and ``mark``) is what earlier rows, seen before, amount to.
     """
     side = -F.col(order) if descending else F.col(order)
     marked = df.withColumn("_side", side).withColumn("_chunk", F.floor(F.col("_side") / chunk_rows)).withColumn("_v", value)
@@ -39,11 +40,12 @@ def prior_max(
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carry = per_chunk.select(*keys, "_chunk", F.max("_m").over(before).alias("_carry")).where("_carry is not null")
     within = W.partitionBy(*keys, "_chunk").orderBy("_side").rowsBetween(W.unboundedPreceding, -1)
-    return (
-        marked.join(carry, [*keys, "_chunk"], "left")
-        .withColumn(out, F.greatest("_carry", F.max("_v").over(within)))
-        .drop("_side", "_chunk", "_v", "_carry")
-    )
+    joined = marked.join(carry, [*keys, "_chunk"], "left")
+    prior = [F.col("_carry"), F.max("_v").over(within)]
+    if initial is not None:
+        joined = joined.join(initial.select(*keys, F.col("mark").alias("_initial")), keys, "left")
+        prior.append(F.col("_initial"))
+    return joined.withColumn(out, F.greatest(*prior)).drop("_side", "_chunk", "_v", "_carry", "_initial")
 
 
 def asof(

@@ -215,13 +215,14 @@ def _envelope(df: DataFrame) -> DataFrame:
 def check_batch(
     df: DataFrame, schemas: DataFrame, as_of: Column, order: str = "seq", strict: bool = False,
     check_format: bool = False, check_country: bool = False, country_from_schema: bool = False,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS, marks: DataFrame | None = None,
 ) -> DataFrame:
     """Batch envelopes with ``error_code``, ``failed_stage``, ``failed_fields``, ``errors`` and the
     envelope columns; five levels, the first failure decides.
 
     ``order`` is the arrival sequence. ``as_of`` stands in for a snapshot time that does not parse,
-    unless ``strict`` rejects it. One shuffle of the data, by dataset and arrival chunk.
+    unless ``strict`` rejects it. ``marks`` (``dataset_name``, ``mark``) are the latest snapshots already
+    seen, for input that comes in pieces. One shuffle of the data, by dataset and arrival chunk.
     """
     reg = Registry.of(schemas)
     env = _envelope(df).withColumn(
@@ -255,7 +256,7 @@ def check_batch(
 
     # Rows rejected as stale lie below the running mark, so the mark is a plain running maximum.
     gated = prior_max(
-        staged, ["dataset_name"], order, F.when(F.col("_early").isNull(), F.col("snapshot_ms")), "_mark", chunk_rows
+        staged, ["dataset_name"], order, F.when(F.col("_early").isNull(), F.col("snapshot_ms")), "_mark", chunk_rows, initial=marks
     )
     has_data = F.coalesce(F.startswith(F.schema_of_variant("data"), F.lit("OBJECT")), F.lit(False))
     not_delete = F.col("sync_mode") != "DELETE"
@@ -290,6 +291,12 @@ def check_batch(
     )
 
 
+def snapshot_marks(checked: DataFrame) -> DataFrame:
+    """Latest snapshot seen per dataset: of every row that reached the anti-stale level."""
+    reached = (F.col("failed_stage") == "LEVEL_5_FIELD_CONSTRAINT") | F.col("error_code").isNull()
+    return checked.where(reached).groupBy("dataset_name").agg(F.max("snapshot_ms").alias("mark"))
+
+
 def valid(checked: DataFrame) -> DataFrame:
     return checked.where("error_code is null")
 
