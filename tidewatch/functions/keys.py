@@ -19,23 +19,26 @@ def is_valid_e164(phone: Column) -> Column:
 def normalize_key(phone: Column, country_code: Column | str = DEFAULT_COUNTRY_CODE) -> Column:
     """The E.164 form of ``phone``, or null when it has none.
 
-    ``country_code`` may be a column, so that a schema can bring its own.
+    ``country_code`` may be a column, so that a schema can bring its own. Each step reads the one
+    before it once, which keeps the expression small wherever it is inlined; a step leaves alone
+    what already starts with a plus sign.
     """
     if isinstance(country_code, str):
-        country_code = F.lit(country_code)
-    stripped_cc = F.regexp_replace(F.trim(country_code), r"^\+", "")
-    cc = F.when(F.length(stripped_cc) > 0, stripped_cc).otherwise(DEFAULT_COUNTRY_CODE)
-
-    digits = F.regexp_replace(phone, r"^[\x00-\x20]+|[\x00-\x20]+$|[\s\-.()]", "")
-    dialled = (
-        F.when(digits.startswith("+"), digits)
-        .when(digits.startswith("00"), F.concat(F.lit("+"), F.substr(digits, F.lit(3))))
-        .when(digits.startswith("0"), F.concat(F.lit("+"), cc, F.substr(digits, F.lit(2))))
-        .when(digits.startswith(cc), F.concat(F.lit("+"), digits))
-        .when(F.length(digits).between(7, 10), F.concat(F.lit("+"), cc, digits))
-        .otherwise(F.concat(F.lit("+"), digits))
-    )
-    return F.when(dialled.rlike(E164), dialled)
+        cc = country_code.strip().removeprefix("+") or DEFAULT_COUNTRY_CODE
+        national, own_code, short = f"+{cc}", f"^({cc})", f"+{cc}$1"
+    else:
+        cc = F.regexp_replace(F.trim(country_code), r"^\+", "")
+        cc = F.coalesce(F.nullif(cc, F.lit("")), F.lit(DEFAULT_COUNTRY_CODE))
+        national = F.concat(F.lit("+"), cc)
+        own_code, short = F.concat(F.lit("^("), cc, F.lit(")")), F.concat(F.lit("+"), cc, F.lit("$1"))
+
+    number = F.regexp_replace(phone, r"^[\x00-\x20]+|[\x00-\x20]+$|[\s\-.()]", "")
+    number = F.regexp_replace(number, "^00", "+")
+    number = F.regexp_replace(number, "^0", national)
+    number = F.regexp_replace(number, own_code, "+$1")
+    number = F.regexp_replace(number, "^([^+].{6,9})$", short)
+    number = F.regexp_replace(number, "^([^+])", "+$1")
+    return F.nullif(F.regexp_extract(number, r"^(\+[1-9][0-9]{6,14})\z", 1), F.lit(""))
 
 
 def in_countries(key: Column, codes: list[str] | None) -> Column:

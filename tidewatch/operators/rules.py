@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -105,19 +106,34 @@ def parse_rules(rules: DataFrame) -> list[dict]:
     return parsed
 
 
-def rule_class(rule: dict, datasets: set[str] | None = None) -> str:
-    """CEP, STATEFUL or STATELESS by the condition tree.
+def rule_classes(rules: DataFrame, datasets: list[str]) -> DataFrame:
+    """CEP, STATEFUL or STATELESS per rule (``rule_id``, ``rule_json``), by its condition tree.
 
-    A dotted field makes a rule stateful only when its first part names a dataset. Without a list of
-    datasets, that is any part that is not one of the rule's own sources and no payload object.
+    Read off the tree's canonical JSON text, where keys and marks stand in one fixed form. A dotted
+    field makes a rule stateful only when its first part names a dataset.
     """
+    shape = F.to_json(F.try_variant_get(F.try_parse_json("rule_json"), "$.condition_tree", "variant"))
+    of_dataset = F.lit(False)
+    if datasets:
+        names = "|".join(re.escape(d) for d in datasets)
+        of_dataset = shape.rlike(rf'"(field|right_field)":"({names})\\.')
+    kind = (
+        F.when(shape.contains('"type":"SEQUENCE"') | shape.rlike('(?i)"op":"IS_FIRST_ARRIVAL"'), "CEP")
+        .when(shape.rlike('(?i)"op":"IN_DATASET"') | of_dataset, "STATEFUL")
+        .otherwise("STATELESS")
+    )
+    return rules.select("rule_id", kind.alias("rule_class"))
+
+
+def rule_class(rule: dict, datasets: set[str] = frozenset()) -> str:
+    """As :func:`rule_classes`, for a rule already on the driver."""
     node = rule.get("condition_tree")
     expressions = leaves({"condition_tree": node})
-    if _has_sequence(node) or any((e.get("op") or "").upper() == "IS_FIRST_ARRIVAL" for e in expressions):
+    ops = {(e.get("op") or "").upper() for e in expressions}
+    if _has_sequence(node) or "IS_FIRST_ARRIVAL" in ops:
         return "CEP"
-    names = [n for e in expressions for n in ([e.get("field")] + list(e.get("fields") or [])) if n]
-    of_dataset = datasets and any(n.split(".")[0] in datasets for n in names if "." in n)
-    if of_dataset or any((e.get("op") or "").upper() == "IN_DATASET" for e in expressions):
+    names = [n for e in expressions for n in (e.get("field"), e.get("right_field")) if n]
+    if "IN_DATASET" in ops or any("." in n and n.split(".")[0] in datasets for n in names):
         return "STATEFUL"
     return "STATELESS"
 
