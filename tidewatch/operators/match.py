@@ -10,14 +10,16 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.keys import normalize_key
-from tidewatch.functions.values import field, number
+from tidewatch.functions.values import field, is_object_text, number
 from tidewatch.operators.predicates import dnf, leaf, quoted, tree
 from tidewatch.operators.rules import EXACT
+from tidewatch.operators.scans import with_once
 
 
 def events_of(df: DataFrame, version: str = "v1") -> DataFrame:
-    """Adds the columns matching needs to raw ``seq, source, payload`` rows; unreadable payloads drop out."""
-    parsed = df.withColumn("event", F.try_parse_json("payload"))
+    """Adds the columns matching needs to raw ``seq, source, payload`` rows; a payload that is no JSON object drops out."""
+    objects = df.where(is_object_text(F.col("payload")))
+    parsed = with_once(objects, event=F.try_parse_json("payload")).where("event is not null")
     if "schema_version" not in df.columns:
         parsed = parsed.withColumn("schema_version", F.lit(version))
     return parsed

@@ -64,18 +64,23 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
     the literal, one element unless it is a list.
     """
     doc = F.from_json("rule_json", RULE_TYPE)
-    triggers = rules.select("rule_id", F.posexplode_outer(doc["trigger_criteria"]).alias("trigger_no", "t"))
-    groups = triggers.select("rule_id", "trigger_no", "t", F.posexplode_outer("t.conditions").alias("group_no", "g"))
-    conds = groups.select("rule_id", "trigger_no", "t", "group_no", F.posexplode_outer("g").alias("cond_no", "c"))
-    value = F.col("c.value")
-    listed = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
-    return conds.select(
+    # Scalars leave the trigger before the next explode, so only what is needed travels on.
+    head = ["rule_id", "trigger_no", "source", "schema_version", "key_field", "event_time_field"]
+    triggers = rules.select("rule_id", F.posexplode_outer(doc["trigger_criteria"]).alias("trigger_no", "t")).select(
         "rule_id",
         "trigger_no",
-        F.col("t.source").alias("source"),
+        "t.source",
         F.coalesce("t.schema_version", "t.version", F.lit("v1")).alias("schema_version"),
-        F.col("t.key_field").alias("key_field"),
-        F.col("t.event_time_field").alias("event_time_field"),
+        "t.key_field",
+        "t.event_time_field",
+        "t.conditions",
+    )
+    groups = triggers.select(*head, F.posexplode_outer("conditions").alias("group_no", "g"))
+    conds = groups.select(*head, "group_no", F.posexplode_outer("g").alias("cond_no", "c"))
+    value = F.col("c.value")
+    listed = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
+    return conds.select(
+        *head,
         "group_no",
         "cond_no",
         F.coalesce("c.fields", F.when(F.col("c.field").isNotNull(), F.array("c.field"))).alias("fields"),
@@ -116,7 +121,7 @@ def rule_classes(rules: DataFrame, datasets: list[str]) -> DataFrame:
     of_dataset = F.lit(False)
     if datasets:
         names = "|".join(re.escape(d) for d in datasets)
-        of_dataset = shape.rlike(rf'"(field|right_field)":"({names})\\.')
+        of_dataset = shape.rlike(rf'"(field|right_field)":"({names})\.')
     kind = (
         F.when(shape.contains('"type":"SEQUENCE"') | shape.rlike('(?i)"op":"IS_FIRST_ARRIVAL"'), "CEP")
         .when(shape.rlike('(?i)"op":"IN_DATASET"') | of_dataset, "STATEFUL")

@@ -48,7 +48,7 @@ SQL_EVENTS = "SELECT seq, ts, epoch_us(ts) AS t, user_id, topic, source, payload
 
 
 def events_sql(body: str, *views: str, **more: str) -> str:
-    return ctes("fx_stream", *views, e=SQL_EVENTS, **more) + body
+    return ctes("fx_stream", *views, e=f"SELECT * FROM ({SQL_EVENTS}) x WHERE j IS NOT NULL", **more) + body
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:

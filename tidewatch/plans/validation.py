@@ -99,12 +99,12 @@ def batch_sql(body: str, **more: str) -> str:
     return ctes("fx_batch", **BATCH_CHECK, **more) + body
 
 
-def checked_batch(spark, sf_dir, **options):
-    return validate.check_batch(fx.view(spark, sf_dir, fx.BATCH), batch_registry(spark), as_of(), **options)
+def checked_batch(spark, sf_dir, view=fx.BATCH, **options):
+    return validate.check_batch(fx.view(spark, sf_dir, view), batch_registry(spark), as_of(), **options)
 
 
-def valid_batch(spark, sf_dir):
-    return validate.valid(checked_batch(spark, sf_dir))
+def valid_batch(spark, sf_dir, view=fx.BATCH):
+    return validate.valid(checked_batch(spark, sf_dir, view))
 
 
 @query("batch_validate_ok", batch_sql("SELECT seq, dataset_name, key_value, sync_mode, batch_id, snapshot_ms FROM ok"))
@@ -148,7 +148,7 @@ def batch_anti_stale(spark, sf_dir):
 
 @query("nested_path_required", events_sql("SELECT seq, json_extract_string(j, '$.data.request.billCode') AS bill_code, json_type(j, '$.data.request.billCode') IS NULL AS is_missing FROM e WHERE j IS NOT NULL"))
 def nested_path_required(spark, sf_dir):
-    e = stream_events(spark, sf_dir).where(F.col("payload").rlike(r"^\s*\{") & F.col("event").isNotNull())
+    e = stream_events(spark, sf_dir)
     at = field(F.col("event"), "data.request.billCode")
     return e.select("seq", field(F.col("event"), "data.request.billCode", "string").alias("bill_code"), at.isNull().alias("is_missing"))
 

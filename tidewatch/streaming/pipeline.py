@@ -128,10 +128,14 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def first_arrivals(events: DataFrame, keys: list[str], order: list[str], ttl_ms: int | None = None) -> DataFrame:
-    """First event per key and processing-time period; also cooldown, with (rule_id, partition_key) as keys."""
+    """First event per key and processing-time period; also cooldown, with (rule_id, partition_key) as keys.
+
+    State that expires needs processing time, and a query in that mode keeps running empty batches;
+    without ``ttl_ms`` it ends when its input does.
+    """
     use_rocksdb(events.sparkSession)
     return events.groupBy(*keys).transformWithState(
-        FirstArrival(order, events.columns, ttl_ms), events.schema, "Append", "ProcessingTime"
+        FirstArrival(order, events.columns, ttl_ms), events.schema, "Append", "ProcessingTime" if ttl_ms else "None"
     )
 
 

@@ -21,12 +21,12 @@ class FirstArrival(StatefulProcessor):
         self.order, self.columns, self.ttl_ms = order, columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "at bigint", self.ttl_ms)
+        self.seen = handle.getValueState("seen", "yes boolean", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         best = min(rows, key=lambda r: tuple(r[c] for c in self.order))
         if not self.seen.exists():
-            self.seen.update((timerValues.getCurrentProcessingTimeInMs(),))
+            self.seen.update((True,))
             yield Row(**{c: best[c] for c in self.columns})
 
     def close(self) -> None:
