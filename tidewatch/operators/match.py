@@ -37,11 +37,11 @@ def candidates_exact(events: DataFrame, conditions: DataFrame) -> DataFrame:
     paths = [r[0] for r in index.select("field").distinct().limit(10_001).collect()]
     if len(paths) > 10_000:
         raise ValueError("more than 10000 indexed fields")
+    if not paths:
+        return events.select("seq", F.lit(None).cast("string").alias("rule_id")).where("false")
     entries = F.array(
         *[F.struct(F.lit(p).alias("field"), field(F.col("event"), p, "string").alias("value")) for p in sorted(paths)]
     )
-    if not paths:
-        return events.select("seq").crossJoin(index.select("rule_id")).limit(0)
     probe = events.select("seq", "source", "schema_version", F.inline(entries)).where("value is not null")
     hits = probe.join(index, ["source", "schema_version", "field", "value"])
     return hits.select("seq", "rule_id").dropDuplicates()
@@ -162,16 +162,19 @@ def match_rules(events: DataFrame, rules: list[dict], trigger_only: bool = False
         body = "true" if trigger_only else tree(rule.get("condition_tree"), leaf_of)
         for route, groups in trigger_groups(rule).items():
             by_route[route].append(f"CASE WHEN {dnf(groups, leaf_of)} AND {body} THEN {quoted(rule['rule_id'])} END")
-    # The array filter keeps this projection out of the whole-stage method, whose size a large rule
-    # set would break; an array of hits is compiled in pieces instead.
-    hits = F.coalesce(
-        *[
-            F.when(F.expr(route_test(route)), F.array_compact(F.expr(f"array({', '.join(tests)})")))
-            for route, tests in by_route.items()
-        ],
+    tested = F.coalesce(
+        *[F.when(F.expr(route_test(route)), F.expr(f"array({', '.join(tests)})")) for route, tests in by_route.items()],
         F.array().cast("array<string>"),
     )
     extracted = fields.extract(events)
+    # A large rule set does not fit the one method whole-stage code generation makes. A lambda in the
+    # same projection keeps that projection out of it, and Spark then compiles the tests in pieces.
+    # Reading the result twice keeps the two projections apart; inside a lambda function's argument
+    # the tests would be interpreted.
+    matched = extracted.select(
+        *events.columns, tested.alias("_tested"), F.exists(F.array("source"), lambda s: s.isNotNull()).alias("_routed")
+    )
+    any_hit = F.col("_routed") & F.exists("_tested", lambda r: r.isNotNull())
+    hits = F.when(any_hit, F.array_compact("_tested"))
     # explode_outer: a plain explode would add a filter that evaluates every rule a second time.
-    matched = extracted.select(*events.columns, hits.alias("_hits"))
-    return matched.select(*events.columns, F.explode_outer("_hits").alias("rule_id")).where("rule_id is not null")
+    return matched.select(*events.columns, F.explode_outer(hits).alias("rule_id")).where("rule_id is not null")

@@ -38,8 +38,11 @@ def first_arrival_ttl(
     instants = (
         events.dropna(subset=[*keys, time])
         .groupBy(*keys, F.col(time).alias("_t"))
-        .agg(F.min(tie).alias("_tie"))
+        .agg(F.min(tie).cast("bigint").alias("_tie"))
     )
+    # Kept, for it is read three times and what it is made from may be a whole rule evaluation.
+    ensure_checkpoint_dir(events.sparkSession)
+    instants = instants.checkpoint()
     sizes = instants.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_t").alias("_from"), F.max("_t").alias("_to"))
     hot = sizes.where(F.col("_n") > cold_rows)
     span = hot.agg(F.max(F.col("_to") - F.col("_from"))).first()[0]
@@ -53,7 +56,7 @@ def first_arrival_ttl(
         kept = rows.groupBy(*keys).agg(history.alias("_h"))
         return kept.select(*keys, F.inline(F.aggregate("_h", empty, step)))
 
-    rows = instants.withColumn("_tie", F.col("_tie").cast("bigint"))
+    rows = instants
     if span is None:
         accepted = fold(rows)
     else:
