@@ -13,7 +13,7 @@ from tidewatch.functions.values import text
 from tidewatch.operators.scans import asof
 
 PROFILE_TTL_MS = 36 * 3600 * 1000
-DAY = 86_400_000_000
+HOUR = 3_600_000_000
 
 
 def profile_delta(valid: DataFrame, order: str = "seq") -> DataFrame:
@@ -120,4 +120,4 @@ def enrich_asof(
 ) -> DataFrame:
     """Replay form: each event sees the latest snapshot of its key at or before its own time."""
     keyed = snapshots.withColumnRenamed("key_value", key) if key != "key_value" else snapshots
-    return asof(events, keyed, [key], time, snapshot_time, payload, out, DAY, tie=F.col(order))
+    return asof(events, keyed, [key], time, snapshot_time, payload, out, HOUR, tie=F.col(order))

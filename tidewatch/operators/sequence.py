@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewatch.operators.scans import asof
 
 HOUR = 3_600_000_000
+# Width of the time slots a key is spread over: a key seen through a month has over 4,000 of them.
+SLOT = HOUR // 6
 COLD_ROWS = 10_000
 
 
@@ -76,7 +78,7 @@ def _accepted_of_hot(rows: DataFrame, keys: list[str], ttl: int, span: int) -> D
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    slot = max(ttl // 16, 1)
+    slot = max(1, min(ttl // 16, SLOT))
     asks = rows.withColumn("_due", F.col("_t") + F.lit(ttl))
     pointers = asof(
         asks, rows, keys, "_due", "_t", F.struct("_t", "_tie"), "_next", slot, forward=True, tie=F.col("_tie")
@@ -132,24 +134,28 @@ def cooldown(hits: DataFrame, seconds: dict[str, int], time: str, tie: str, cold
 
 
 def _first_answer(
-    first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int,
+    first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int, slot: int,
 ) -> DataFrame:
     asks = first.withColumn("_from", F.col(time) + F.lit(least))
-    answered = asof(asks, second, on, "_from", time, F.col(time), "second_time", max(most - least, HOUR), forward=True)
+    answered = asof(asks, second, on, "_from", time, F.col(time), "second_time", slot, forward=True)
     inside = F.col("second_time") <= F.col(time) + F.lit(most)
     return answered.withColumn("second_time", F.when(inside, F.col("second_time"))).drop("_from")
 
 
-def followed_by(first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int) -> DataFrame:
+def followed_by(
+    first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int, slot: int = SLOT,
+) -> DataFrame:
     """``first`` events answered by a ``second`` event of the same ``on`` values between ``least`` and
     ``most`` microseconds later, with the time of the earliest answer as ``second_time``.
 
     The earliest answer is all that is looked for, so no pairs are built inside a key.
     """
-    return _first_answer(first, second, on, time, least, most).where("second_time is not null")
+    return _first_answer(first, second, on, time, least, most, slot).where("second_time is not null")
 
 
-def not_followed_by(first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int) -> DataFrame:
+def not_followed_by(
+    first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int, slot: int = SLOT,
+) -> DataFrame:
     """``first`` events with no such answer. An event whose ``on`` value is missing stays out."""
-    unanswered = _first_answer(first.dropna(subset=on), second, on, time, least, most).where("second_time is null")
+    unanswered = _first_answer(first.dropna(subset=on), second, on, time, least, most, slot).where("second_time is null")
     return unanswered.drop("second_time")
