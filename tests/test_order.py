@@ -112,6 +112,7 @@ def test_profile_modes_and_split_deltas(spark):
     active = profile.active_batches(events)
     assert {r.dataset_name: r.active_batch_id for r in active.collect()} == {"d": "b3", "other": "b1"}
     assert pick(profile.guard_epoch(profile.fold_profile(events), active)) == {("k", "other", "z", "9"), ("back", "d", "a", "5")}
+    assert pick(profile.current_profile(events)) == pick(profile.guard_epoch(profile.fold_profile(events), active))
     assert {r.key_value for r in profile.membership(events).where("dataset_name = 'd'").collect()} == {"k", "back", "set"}
     assert pick(profile.unexpired(profile.fold_profile(events), F.lit(4), 2)) == {("back", "d", "a", "5")}
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions.values import text
 from tidewatch.operators.scans import asof
+from tidewatch.operators.sequence import ensure_checkpoint_dir
 
 PROFILE_TTL_MS = 36 * 3600 * 1000
 HOUR = 3_600_000_000
@@ -34,7 +35,7 @@ def profile_delta(valid: DataFrame, order: str = "seq") -> DataFrame:
         "key_value", "dataset_name", F.col(order).alias("written"),
         F.when(F.col("sync_mode").isin("FULL_SNAPSHOT", "DELETE"), F.col(order)).alias("reset"),
         F.when(held, F.col(order)).alias("held"),
-        "batch_id", "snapshot_ms",
+        "batch_id", "snapshot_ms", F.col("batch_id").alias("last_batch"), F.col("snapshot_ms").alias("last_ms"),
         F.inline(F.concat(touch, F.coalesce(fields, F.array().cast("array<struct<field:string,value:string>>")))),
     )
     return merge_deltas(events)
@@ -50,6 +51,8 @@ def merge_deltas(deltas: DataFrame) -> DataFrame:
         F.max("held").alias("held"),
         F.max_by("batch_id", "held").alias("batch_id"),
         F.max_by("snapshot_ms", "held").alias("snapshot_ms"),
+        F.max_by("last_batch", "written").alias("last_batch"),
+        F.max_by("last_ms", "written").alias("last_ms"),
     )
 
 
@@ -92,6 +95,20 @@ def active_batches(valid: DataFrame, order: str = "seq") -> DataFrame:
     return valid.groupBy("dataset_name").agg(newest.alias("active_batch_id"))
 
 
+def active_of(delta: DataFrame) -> DataFrame:
+    """As :func:`active_batches`, from a merged delta."""
+    newest = F.max_by("last_batch", F.struct("last_ms", "written"))
+    return delta.where("field is null").groupBy("dataset_name").agg(newest.alias("active_batch_id"))
+
+
+def current_profile(valid: DataFrame, order: str = "seq") -> DataFrame:
+    """The profile of each dataset's active batch. The delta, one row per entity field, is kept, so the
+    events are validated one time for both the profile and the active batches."""
+    ensure_checkpoint_dir(valid.sparkSession)
+    delta = profile_delta(valid, order).checkpoint()
+    return guard_epoch(profile_of(delta), active_of(delta))
+
+
 def guard_epoch(profile: DataFrame, active: DataFrame) -> DataFrame:
     """Profile rows of each dataset's active batch; a key left out of the latest batch has no profile."""
     return profile.join(active, "dataset_name").where("batch_id = active_batch_id").drop("active_batch_id")

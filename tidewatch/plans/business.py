@@ -211,8 +211,7 @@ _GUARD_CTES = dict(BATCH_CHECK, **FOLD, g=_GUARDED, e=f"SELECT *, payload AS j F
     + """SELECT seq, key_value AS partition_key FROM k WHERE amount >= 5 AND EXISTS (SELECT 1 FROM g WHERE g.key_value = k.key_value AND dataset_name = 'active_promo' AND field = 'sub_code' AND value IN ('VTM1', 'VTM2', 'VTM3', 'VTM4'))
   AND EXISTS (SELECT 1 FROM g WHERE g.key_value = k.key_value AND dataset_name = 'daily_spending' AND field = 'balance' AND cast(value AS double) > 1000)""")
 def biz_high_value(spark, sf_dir):
-    ok = valid_batch(spark, sf_dir, SHARED_KEYS)
-    guarded = profile.guard_epoch(profile.fold_profile(ok), profile.active_batches(ok))
+    guarded = profile.current_profile(valid_batch(spark, sf_dir, SHARED_KEYS))
     events = events_of(fx.view(spark, sf_dir, PAYMENTS)).withColumn("t", epoch_micros(F.col("ts")))
     hits = evaluate_rule(events, HIGH_VALUE, "t", "seq", profile=guarded, profile_datasets={"active_promo", "daily_spending"})
     return hits.select("seq", "partition_key")

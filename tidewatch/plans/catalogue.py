@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import report
+from tidewatch.operators.match import match_rules
 from tidewatch.operators.rules import live_rules, rule_classes, rule_conditions, upsert_rules
 from tidewatch.plans import fixtures as fx
-from tidewatch.plans.registry import events_sql, query, stream_events
+from tidewatch.plans.registry import ctes, events_sql, query, stream_events
+from tidewatch.plans.validation import STREAM_CHECK, checked_stream
 from tidewatch.sources.records import cluster_topics
 
 CLUSTERS = "SELECT n_nationkey AS id, 'stream_' || cast(n_regionkey AS string) AS stream_id, n_name AS cluster_name, 'broker-' || cast(n_nationkey AS string) || ':9092' AS bootstrap_servers, n_nationkey % 4 <> 0 AS enabled FROM nation"
@@ -104,17 +106,13 @@ def union_sources(spark, sf_dir):
   count(*) FILTER (WHERE source = 'CDCN' AND json_extract_string(j, '$.status') = 'FAILED') AS triggered FROM e GROUP BY 1"""))
 def metrics_by_window(spark, sf_dir):
     e = stream_events(spark, sf_dir).withColumn("at", F.timestamp_micros("t"))
-    from tidewatch.operators.match import match_rules
-
     rule = {"rule_id": "failed", "trigger_criteria": [{"source": "CDCN", "conditions": [[{"field": "status", "op": "==", "value": "FAILED"}]]}]}
     rates = report.hit_rate(e.select("seq", "at"), match_rules(e, [rule]).select("seq", "at"), "at")
     return rates.select(F.unix_micros("window_start").alias("window_us"), "events", "triggered")
 
 
-@query("metrics_errors", None)
+@query("metrics_errors", ctes("fx_stream", **STREAM_CHECK) + "SELECT (epoch_us(ts) // 3600000000) * 3600000000 AS window_us, coalesce(error_code, 'OK') AS outcome, count(*) AS events FROM v GROUP BY ALL")
 def metrics_errors(spark, sf_dir):
-    from tidewatch.plans.validation import checked_stream
-
     return report.metrics(checked_stream(spark, sf_dir), F.col("ts").cast("timestamp")).select(
         F.unix_micros("window_start").alias("window_us"), "outcome", "events"
     )

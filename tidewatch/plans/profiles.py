@@ -54,8 +54,7 @@ def active_batch(spark, sf_dir):
 
 @query("epoch_guard", batch_sql(f"SELECT key_value, dataset_name, field, {SAME_VALUE} FROM p JOIN act USING (dataset_name) WHERE batch_id = active_batch_id", **FOLD))
 def epoch_guard(spark, sf_dir):
-    ok = valid_batch(spark, sf_dir)
-    return profile.guard_epoch(profile.fold_profile(ok), profile.active_batches(ok)).select("key_value", "dataset_name", "field", same_value())
+    return profile.current_profile(valid_batch(spark, sf_dir)).select("key_value", "dataset_name", "field", same_value())
 
 
 # Events keyed like the batch side: its phones end in key % 150.
