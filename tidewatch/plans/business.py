@@ -39,7 +39,7 @@ def trigger(source, conditions=(), key="msisdn"):
 # ------------------------------------------------ first credit per (key, product), four sources
 
 # Notices as JSON events: product classes by client code and message text.
-NOTICES = """SELECT event_id AS seq, ts, CASE event_type WHEN 'purchase' THEN 'CPM' WHEN 'error' THEN 'EVT' WHEN 'signup' THEN 'TDH' ELSE 'GNOTI' END AS source,
+NOTICES = """SELECT event_id AS seq, ts, CASE event_type WHEN 'purchase' THEN 'CPM' WHEN 'error' THEN 'EVT' WHEN 'signup' THEN 'TDH' ELSE 'NOTI' END AS source,
   '{"msisdn":"098' || lpad(cast(user_id AS string), 7, '0') || '","payment_type":"' || CASE WHEN event_id % 3 = 0 THEN 'DEBIT' ELSE 'CREDIT' END
   || '","error_code":"' || CASE WHEN event_id % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END || '","client_code":"'
   || CASE event_id % 5 WHEN 0 THEN 'NAPAS' WHEN 1 THEN 'BIDV' WHEN 2 THEN 'XYZ' ELSE 'VTP' END || '","msg_content":"'
@@ -47,7 +47,7 @@ NOTICES = """SELECT event_id AS seq, ts, CASE event_type WHEN 'purchase' THEN 'C
 FIRST_CREDIT = {
     "rule_id": "first_credit",
     "trigger_criteria": [
-        trigger("TDH"), trigger("EVT"), trigger("GNOTI", [[cond("payment_type", "==", "CREDIT")]]), trigger("CPM", [[cond("error_code", "==", "SUCCESS")]]),
+        trigger("TDH"), trigger("EVT"), trigger("NOTI", [[cond("payment_type", "==", "CREDIT")]]), trigger("CPM", [[cond("error_code", "==", "SUCCESS")]]),
     ],
     "condition_tree": first_of("msisdn", "product", ttl="5d"),
 }
@@ -65,7 +65,7 @@ def product_class(spark, sf_dir):
 
 @query("biz_first_credit", greedy_sql(
     f"""SELECT * FROM (SELECT seq, source, epoch_us(ts) AS t, {text_sql('msisdn')} AS msisdn, {_PRODUCT} AS product, j FROM (SELECT *, payload AS j FROM ({NOTICES}) x) y) z
-    WHERE product IS NOT NULL AND (source IN ('TDH', 'EVT') OR (source = 'GNOTI' AND {text_sql('payment_type')} = 'CREDIT') OR (source = 'CPM' AND {text_sql('error_code')} = 'SUCCESS'))""",
+    WHERE product IS NOT NULL AND (source IN ('TDH', 'EVT') OR (source = 'NOTI' AND {text_sql('payment_type')} = 'CREDIT') OR (source = 'CPM' AND {text_sql('error_code')} = 'SUCCESS'))""",
     ["msisdn", "product"], 5 * DAY, f"seq, {phone_sql('msisdn')} AS partition_key, 'first_credit' AS rule_id", (), "seq"))
 def biz_first_credit(spark, sf_dir):
     notices = fx.view(spark, sf_dir, NOTICES)
