@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.llm.bpe import encode
 from tidewatch.llm.sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # crc32 as a fold over the bytes; its table follows from the reversed polynomial.
 CRC = """
 crc_table AS (
@@ -58,3 +66,14 @@ FROM s
 @query("op10_byte_shards", OP10_SQL)
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(read(spark, sf_dir, "documents"))
+
+
+@query("op3_pair_index_bpe")
+def op3_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(documents, tokenizer("word_bpe_49k.json")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
