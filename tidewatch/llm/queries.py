@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.llm import toxicity
 from tidewatch.llm.bpe import encode
+from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +79,27 @@ def op3_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def learnable(labels: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    """Label rows outside the held-out fold."""
+    return labels.where(id_bucket("doc_id", modulus) != held_out)
+
+
+@query("op6_ftrl_toxicity")
+def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(documents, read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``documents`` with ``score``, learnt from the labels outside the held-out fold."""
+    options = toxicity.Ftrl()
+    sample = toxicity.labelled_sample(documents, learnable(labels, 3, 1), "toxic", options.sample)
+    return toxicity.score(documents, toxicity.fit(documents.sparkSession, sample, options))
