@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import toxicity
+from tidewatch.llm import quality, toxicity
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -103,3 +103,21 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     options = toxicity.Ftrl()
     sample = toxicity.labelled_sample(documents, learnable(labels, 3, 1), "toxic", options.sample)
     return toxicity.score(documents, toxicity.fit(documents.sparkSession, sample, options))
+
+
+@query("op1_knn_quality")
+def op1_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(documents, read(spark, sf_dir, "labels")).select(
+        "doc_id",
+        F.coalesce(id_bucket("doc_id", 5) == 0, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``documents`` with ``score``, learnt from the labels outside the held-out fold."""
+    options = quality.Options()
+    sample = quality.labelled_sample(documents, learnable(labels, 5, 0), options)
+    return quality.score(documents, quality.fit(documents, sample, options))
