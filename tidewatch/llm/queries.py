@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import quality, toxicity
+from tidewatch.llm import packing, quality, toxicity
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -121,3 +121,16 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     options = quality.Options()
     sample = quality.labelled_sample(documents, learnable(labels, 5, 0), options)
     return quality.score(documents, quality.fit(documents, sample, options))
+
+
+@query("op5_retrieval_packing")
+def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """``documents`` in sequences of 1024 ids."""
+    import public_tokenizers
+
+    # The ranks are those of the JSON file of the same name; its added token keeps its id.
+    return packing.pack(documents, tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
