@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import packing, quality, toxicity
+from tidewatch.llm import minhash, packing, quality, toxicity
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -134,3 +134,8 @@ def packed(documents: DataFrame) -> DataFrame:
 
     # The ranks are those of the JSON file of the same name; its added token keeps its id.
     return packing.pack(documents, tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+
+
+@query("op4_bag_minhash")
+def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
