@@ -31,6 +31,8 @@ def table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Spark removes a finished query's shuffle files once the JVM has found that nothing refers to them.
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import minhash, packing, quality, toxicity
+from tidewatch.llm import minhash, packing, quality, repeats, toxicity
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -139,3 +139,14 @@ def packed(documents: DataFrame) -> DataFrame:
 @query("op4_bag_minhash")
 def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op7_prefix_free_repeats")
+def op7_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
