@@ -99,7 +99,7 @@ def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` with ``score``, learnt from the labels outside the held-out fold."""
+    """``documents`` with ``score``, learnt from their labels outside the held-out fold."""
     options = toxicity.Ftrl()
     sample = toxicity.labelled_sample(documents, learnable(labels, 3, 1), "toxic", options.sample)
     return toxicity.score(documents, toxicity.fit(documents.sparkSession, sample, options))
@@ -117,7 +117,7 @@ def op1_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` with ``score``, learnt from the labels outside the held-out fold."""
+    """``documents`` with ``score``, learnt from their labels outside the held-out fold."""
     options = quality.Options()
     sample = quality.labelled_sample(documents, learnable(labels, 5, 0), options)
     return quality.score(documents, quality.fit(documents, sample, options))
