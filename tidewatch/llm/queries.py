@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import minhash, packing, quality, repeats, toxicity
+from tidewatch.llm import minhash, near_vectors, packing, quality, repeats, toxicity
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -150,3 +150,24 @@ def op7_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+OP9_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r(vec_id, reached) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.vec_id, u.b FROM r JOIN u ON r.reached = u.a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(reached) AS component_id FROM r GROUP BY vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM u GROUP BY a) USING (vec_id)
+"""
+
+
+@query("op9_pca_tiles", OP9_SQL)
+def op9_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
