@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import minhash, near_vectors, packing, quality, repeats, toxicity
+from tidewatch.llm import minhash, near_vectors, packing, quality, repeats, topk, toxicity, url_lists
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket
 from tidewatch.llm.sharding import shard_by_bytes
@@ -171,3 +171,90 @@ LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM u GROUP BY a) USING (vec_id)
 @query("op9_pca_tiles", OP9_SQL)
 def op9_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+OP2_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op2_pivot_topk", OP2_SQL)
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+# Dated lists over the hosts and addresses of the pages, and a fetch time for each page: the tables have neither,
+# so both follow from a digest of the host and from the page's number.
+OP8_VIEWS = """
+page_hosts AS (
+  SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 6))::BIGINT AS h FROM (
+    SELECT lower(regexp_extract(url, '^https?://([^/?#:@]+)', 1)) AS host FROM pages WHERE url IS NOT NULL) WHERE host <> ''),
+entries AS (
+  SELECT 'spam' AS list, 'block' AS verdict, 'host' AS scope, host AS pattern, 'add' AS action, h % 300 AS day FROM page_hosts WHERE h % 3 = 0
+  UNION ALL SELECT 'spam', 'block', 'host', host, 'remove', h % 300 + 60 FROM page_hosts WHERE h % 6 = 0
+  UNION ALL SELECT 'spam', 'block', 'host', host, 'add', h % 300 + 100 FROM page_hosts WHERE h % 12 = 0
+  UNION ALL SELECT 'adult', 'block', 'domain', regexp_replace(host, '^[^.]+[.]', ''), 'add', h % 200 FROM page_hosts
+    WHERE h % 5 = 0 AND len(host) - len(replace(host, '.', '')) > 2
+  UNION ALL SELECT 'partners', 'allow', 'prefix', host || '/en', 'add', h % 250 FROM page_hosts WHERE h % 4 = 0)
+"""
+OP8_SQL = f"""
+WITH {OP8_VIEWS},
+captures AS (
+  SELECT page_id, url, (page_id * 7919) % 365 AS day, nullif(lower(regexp_extract(url, '^https?://([^/?#:@]+)', 1)), '') AS host,
+    regexp_extract(url, '^[^/?#]*//[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+states AS (SELECT list, verdict, scope, pattern, day, bool_or(action = 'remove') AS off FROM entries GROUP BY ALL),
+spans AS (
+  SELECT *, lead(day) OVER (PARTITION BY list, verdict, scope, pattern ORDER BY day) AS until FROM (
+    SELECT *, lag(off) OVER (PARTITION BY list, verdict, scope, pattern ORDER BY day) AS was FROM states)
+  WHERE was IS NULL AND NOT off OR was <> off),
+active AS (
+  SELECT c.page_id, s.* FROM captures c JOIN spans s ON NOT off AND s.day <= c.day AND (until IS NULL OR c.day < until)
+    AND CASE scope WHEN 'host' THEN host = pattern
+      WHEN 'domain' THEN host = pattern OR ends_with(host, '.' || pattern)
+      ELSE host || path = pattern OR starts_with(host || path, pattern || '/') END),
+best AS (
+  SELECT *, count(*) OVER (PARTITION BY page_id) AS n, row_number() OVER (
+    PARTITION BY page_id ORDER BY length(pattern) DESC, CASE scope WHEN 'prefix' THEN 0 WHEN 'host' THEN 1 ELSE 2 END, verdict <> 'allow', list) AS k
+  FROM active)
+SELECT page_id, host, c.day::BIGINT AS fetched_day, coalesce(n, 0)::BIGINT AS n_active, coalesce(verdict, 'none') AS verdict, list, scope, pattern
+FROM captures c LEFT JOIN (SELECT * EXCLUDE (day) FROM best WHERE k = 1) USING (page_id)
+"""
+
+
+@query("op8_url_lists_asof", OP8_SQL)
+def op8_url_lists_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).where("host IS NOT NULL").distinct()
+    h = F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("bigint")
+    parent = F.regexp_replace("host", "^[^.]+[.]", "")
+
+    def entry(test: Column, kind: str, verdict: str, scope: str, pattern: Column, action: str, day: Column) -> Column:
+        return F.when(test, F.struct(
+            F.lit(kind).alias("list"), F.lit(verdict).alias("verdict"), F.lit(scope).alias("scope"), pattern.alias("pattern"),
+            F.lit(action).alias("action"), day_time(day).alias("at"),
+        ))
+
+    host = F.col("host")
+    entries = hosts.select(F.inline(F.array_compact(F.array(
+        entry(h % 3 == 0, "spam", "block", "host", host, "add", h % 300),
+        entry(h % 6 == 0, "spam", "block", "host", host, "remove", h % 300 + 60),
+        entry(h % 12 == 0, "spam", "block", "host", host, "add", h % 300 + 100),
+        entry((h % 5 == 0) & (F.size(F.split("host", "[.]")) > 3), "adult", "block", "domain", parent, "add", h % 200),
+        entry(h % 4 == 0, "partners", "allow", "prefix", F.concat(host, F.lit("/en")), "add", h % 250),
+    ))))
+    day = (F.col("page_id") * 7919) % 365
+    captures = pages.withColumn("fetched_day", day).withColumn("fetched_at", day_time(day))
+    return url_lists.judge(captures, entries).select("page_id", "host", "fetched_day", "n_active", "verdict", "list", "scope", "pattern")
+
+
+def day_time(day: Column) -> Column:
+    """Midnight of a day of 2024, counted from 0."""
+    return F.timestamp_seconds(F.lit(1_704_067_200) + day * 86_400)
