@@ -3,25 +3,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import in_countries, is_valid_e164, normalize_key
 
-CASES = [
-    ("0981234567", "+84981234567"),
-    ("0901234567", "+84901234567"),
-    ("0381234567", "+84381234567"),
-    ("84981234567", "+84981234567"),
-    ("+84981234567", "+84981234567"),
-    ("+14155552671", "+14155552671"),
-    (" 098-123-4567 ", "+84981234567"),
-    ("(098) 123.4567", "+84981234567"),
-    ("+84 98 123 4567", "+84981234567"),
-    ("0084981234567", "+84981234567"),
-    ("981234567", "+84981234567"),
-    (None, None),
-    ("", None),
-    ("   ", None),
-    ("12345", None),
-    ("not_a_phone_number", None),
-    ("+0981234567", None),
-    ("000123456789", None),
+CASES = [  # one number per rule
+    ("0377000111", "+84377000111"), ("0912222333", "+84912222333"),  # national
+    ("84355444000", "+84355444000"), ("0084355444000", "+84355444000"), ("+84355444000", "+84355444000"),  # with the country code
+    ("+4915112345", "+4915112345"), ("355444000", "+84355444000"),  # another country, no prefix at all
+    ("\t0355 444-000", "+84355444000"), ("(0355).444.000", "+84355444000"), ("+84 355 44 40 00", "+84355444000"),  # separators
+    (None, None), ("", None), (" \t", None), ("77", None), ("call me", None), ("+0355444000", None), ("00000355444", None),
 ]
 
 

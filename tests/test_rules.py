@@ -102,18 +102,55 @@ def conditions(spark, rules):
     return rule_conditions(spark.createDataFrame([(r["rule_id"], json.dumps(r)) for r in rules], "rule_id string, rule_json string"))
 
 
-WORKED = [
-    rule("1", [[c("country", "==", "VN")]]), rule("2", [[c("amount", ">", 10000000)]]),
-    rule("3", [[c("mcc", "==", 5411), c("user_agent", "CONTAINS", "Chrome")]]),
-    rule("4", [[c("country", "==", "VN"), c("mcc", "==", 5411)]]), rule("5", [[c("country", "==", "TH")]]),
-]
-EVENT = {"country": "TH", "amount": 5000000, "mcc": 9999, "user_agent": "Safari", "ip": "1.1.1.1"}
+def test_undecided_rules_stay_candidates(spark):
+    rules = [
+        rule("red", [[c("colour", "==", "red")]]), rule("heavy", [[c("weight", ">", 80)]]),
+        rule("mixed", [[c("shelf", "==", 12), c("label", "CONTAINS", "glass")]]),
+        rule("both", [[c("colour", "==", "red"), c("shelf", "==", 12)]]), rule("blue", [[c("colour", "==", "blue")]]),
+    ]
+    e = events(spark, [{"colour": "blue", "weight": 3, "shelf": 40, "label": "paper"}])
+    assert {r.rule_id for r in candidates(e, conditions(spark, rules)).collect()} == {"heavy", "mixed", "blue"}
+    assert {r.rule_id for r in match_rules(e, rules).collect()} == {"blue"}
+
+
+def test_candidates_contain_every_hit(spark):
+    import random
+
+    rnd = random.Random(5)
+    values = [50, "50", "050", 50.0, "x", "true", True, False, 1, "1", None, -0.0, 0, 2**60, 2**60 + 1, "2024-01-01T00:00:00Z", "2024-01-01T07:00:00+07:00"]
+    literals = [v for v in values if v is not None]
+
+    def condition():
+        name = rnd.choice(["a", "b", "c.d", "S.a", "S.v1.b"])
+        kind = rnd.randrange(6)
+        if kind == 0:
+            return c(name, "IN", rnd.sample(literals, 3))
+        if kind == 1:
+            return c(name, "==", rnd.randrange(5), function="LENGTH")
+        if kind == 2:
+            return c(name, "==", right_field=rnd.choice(["a", "b"]))
+        if kind == 3:
+            return {"expr": "a * 2", "op": "==", "value": 100}
+        return c(name, "==", rnd.choice(literals))
+
+    rules = [rule(f"r{i}", [[condition() for _ in range(rnd.randrange(1, 3))] for _ in range(rnd.randrange(0, 3))]) for i in range(60)]
+    e = events(spark, [{"a": rnd.choice(values), "b": rnd.choice(values), "c": {"d": rnd.choice(values)}} for _ in range(60)])
+    hits = {(r.seq, r.rule_id) for r in match_rules(e, rules).collect()}
+    found = {(r.seq, r.rule_id) for r in candidates(e, conditions(spark, rules)).collect()}
+    assert hits <= found and len(hits) > 200 and len(found) < 60 * 60
+
+
+def test_a_large_catalogue_is_no_error(spark):
+    docs = spark.range(20_001).selectExpr("concat('r', id) AS rule_id", "'{}' AS rule_json")
+    assert len(parse_rules(docs)) == 20_001
 
 
-def test_worked_example(spark):
-    e = events(spark, [EVENT])
-    assert {r.rule_id for r in candidates(e, conditions(spark, WORKED)).collect()} == {"2", "3", "5"}
-    assert {r.rule_id for r in match_rules(e, WORKED).collect()} == {"5"}
+def test_tuples_of_another_length_are_no_members(spark):
+    sets = spark.createDataFrame([("d", "v1", ["A", "B", "C"]), ("d", "v1", ["X", "Y"])], "dataset_id string, dataset_version string, tuple array<string>")
+    rows = spark.createDataFrame([("A", "B"), ("X", "Y")], "p string, q string")
+    both = [F.col("p"), F.col("q")]
+    assert [tuple(r) for r in in_dataset(rows, both, sets, "d").collect()] == [("X", "Y")]
+    assert [tuple(r) for r in in_dataset(rows, both, sets, "d", negate=True).collect()] == [("A", "B")]
 
 
 def test_fifty_rules_one_hit_each_and_versions_apart(spark):
@@ -129,6 +166,9 @@ def test_fifty_rules_one_hit_each_and_versions_apart(spark):
 
 PREDICATES = [  # condition, payload, result
     (c("b", "==", True), {"b": True}, True), (c("b", "!=", True), {"b": False}, True), (c("b", "==", True), {"b": "x"}, False),
+    (c("b", "==", True), {"b": 1}, False), (c("b", "!=", False), {"b": "yes"}, False), (c("b", "==", True), {"b": "True"}, True), (c("s", ">", "50"), {"s": "9"}, False), (c("s", "<", "50"), {"s": 9}, True),
+    (c("x", "==", right_field="y"), {"x": "007", "y": "7"}, False), (c("x", "==", right_field="y"), {"x": "7", "y": 7}, True), (c("x", "!=", right_field="y"), {"x": 9007199254740993, "y": 9007199254740992}, True),
+    (c("x", ">", right_field="y"), {"x": "12345678901234567891", "y": "12345678901234567890"}, True), (c("n", "!=", 9007199254740992), {"n": 9007199254740993}, True), (c("n", "==", 9007199254740992), {"n": 9007199254740992.5}, True),
     (c("n", "==", 12), {"n": "12"}, True), (c("n", "!=", 12), {}, False), (c("n", ">", 1), {"n": True}, False), (c("n", "<", 1), {"n": None}, False),
     (c("n", "==", 9007199254740993), {"n": 9007199254740993}, True), (c("n", "==", 9007199254740993), {"n": 9007199254740992}, False),
     (c("n", ">", 1), {"n": "NaN"}, False), (c("s", "NOT_CONTAINS", "a"), {}, False), (c("s", "NOT IN", ["a"]), {"s": "b"}, True), (c("s", "NOT IN", ["a"]), {}, False),
@@ -218,5 +258,5 @@ def test_first_arrival_under_or_is_refused(spark):
 
 
 def test_matching_is_one_pass(spark):
-    plan = match_rules(events(spark, [EVENT]), WORKED)._jdf.queryExecution().executedPlan().toString()
+    plan = match_rules(events(spark, [{"code": "a", "n": 2}]), [rule("a", [[c("code", "==", "a")]]), rule("n", [[c("n", ">", 1)]], tree=None)])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan

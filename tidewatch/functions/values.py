@@ -64,9 +64,13 @@ def instant(value_text: Column) -> Column:
     return F.try_to_timestamp(value_text)
 
 
+#: Date, time and offset: without an offset a text would mean another instant in every session zone.
+WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def snapshot_millis(snapshot_text: Column, as_of: Column | None = None) -> Column:
-    """Epoch milliseconds of a snapshot time; an unreadable one counts as ``as_of`` when given."""
-    parsed = F.unix_millis(instant(snapshot_text))
+    """Epoch milliseconds of a snapshot time with an offset; an unreadable one counts as ``as_of`` when given."""
+    parsed = F.unix_millis(F.when(snapshot_text.rlike(WITH_OFFSET), instant(snapshot_text)))
     return parsed if as_of is None else F.coalesce(parsed, F.unix_millis(as_of))
 
 

@@ -6,6 +6,9 @@ broadcasts a set only while its measured size allows it.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -21,8 +24,8 @@ def load_datasets(documents: DataFrame, text_column: str = "value") -> DataFrame
 
 
 def dataset_tuples(datasets: DataFrame, dataset_id: str, arity: int, version: str | None = None) -> DataFrame:
-    """The tuples of one dataset as columns ``_m0, _m1, ...``, distinct."""
-    rows = datasets.where(F.col("dataset_id") == dataset_id)
+    """The tuples of one dataset that have ``arity`` values, as columns ``_m0, _m1, ...``, distinct."""
+    rows = datasets.where((F.col("dataset_id") == dataset_id) & (F.size("tuple") == arity))
     if version:
         rows = rows.where(F.col("dataset_version") == version)
     return rows.select(*[F.get("tuple", F.lit(i)).alias(f"_m{i}") for i in range(arity)]).dropDuplicates()
@@ -49,12 +52,10 @@ def with_membership(
     """Adds a boolean ``out``, for membership used inside OR; null when a value is missing."""
     marked, on = _with_values(df, values)
     members = dataset_tuples(datasets, dataset_id, len(values), version).withColumn("_in", F.lit(True))
-    known = F.lit(True)
-    for name in on:
-        known = known & F.col(name).isNotNull()
-    return marked.join(members, on, "left").select(
-        *df.columns, F.when(known, F.coalesce("_in", F.lit(False))).alias(out)
-    )
+    known = reduce(and_, [F.col(name).isNotNull() for name in on])
+    judged = marked.where(known).join(members, on, "left").select(*df.columns, F.coalesce("_in", F.lit(False)).alias(out))
+    # Rows with a missing value would all meet in one partition of the join.
+    return judged.unionByName(marked.where(~known).select(*df.columns, F.lit(None).cast("boolean").alias(out)))
 
 
 def _with_values(df: DataFrame, values: list[Column]) -> tuple[DataFrame, list[str]]:

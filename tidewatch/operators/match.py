@@ -5,6 +5,7 @@ Events carry ``seq``, ``source``, ``schema_version`` and ``event`` (VARIANT).
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewatch.functions.keys import normalize_key
 from tidewatch.functions.values import field, is_object_text, number
 from tidewatch.operators.predicates import dnf, leaf, quoted, tree
-from tidewatch.operators.rules import EXACT
 from tidewatch.operators.scans import with_once
 
 
@@ -25,41 +25,75 @@ def events_of(df: DataFrame, version: str = "v1") -> DataFrame:
     return parsed
 
 
-# ---------------------------------------------------------------- candidates by index join
+# ---------------------------------------------------------------- candidates by index look-up
+
+
+def candidate_ids(events: DataFrame, conditions: DataFrame, exact: bool = True, undecided: bool = True) -> DataFrame:
+    """Adds ``candidates``: the ids of the rules worth evaluating for each event, as one array. Every rule that
+    :func:`match_rules` would report is among them.
+
+    ``exact``: rules of the event's source and version with an equality that an index decides (``index_by`` of
+    :func:`~tidewatch.operators.rules.rule_conditions`) and that hits. ``undecided``: rules with any other condition
+    or with none, which are candidates for every event of their source and version.
+
+    The index is part of the plan: per source, version and field a constant map from value to rules. One pass
+    over the events, no join, no shuffle, no pairs.
+    """
+    rows = conditions.select("rule_id", "source", "schema_version", "fields", "values", "index_by").collect()
+    sources = defaultdict(set)
+    for r in rows:
+        sources[r["rule_id"]].add(r["source"])
+    indexed, rest = defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for r in rows:
+        route = (r["source"], r["schema_version"])
+        # A name that starts with a source is read from that source's events only.
+        if r["index_by"] is None or r["fields"][0].split(".")[0] in sources[r["rule_id"]]:
+            rest[route].add(r["rule_id"])
+            continue
+        for value in r["values"]:
+            key = value if r["index_by"] == "text" else float(value)
+            indexed[route][(r["fields"][0], r["index_by"])].add((key, r["rule_id"]))
+    parts = []
+    for route in sorted(indexed.keys() | rest.keys(), key=repr):
+        here = []
+        if undecided and rest[route]:
+            here.append(F.expr(f"array({', '.join(map(quoted, sorted(rest[route])))})"))
+        for (name, kind), entries in sorted(indexed[route].items()) if exact else ():
+            by_value = defaultdict(list)
+            for key, rule_id in sorted(entries):
+                by_value[key].append(rule_id)
+            value = field(F.col("event"), name, "string")
+            if kind == "number":
+                value = number(value)
+            index = F.map_from_arrays(
+                F.from_json(F.lit(json.dumps(list(by_value))), f"array<{'double' if kind == 'number' else 'string'}>"),
+                F.from_json(F.lit(json.dumps(list(by_value.values()))), "array<array<string>>"),
+            )
+            here.append(F.coalesce(F.try_element_at(index, value), F.array().cast("array<string>")))
+        if here:
+            parts.append(F.when(F.expr(route_test(route)), F.array_distinct(F.concat(*here))))
+    none = F.array().cast("array<string>")
+    return events.withColumn("candidates", F.coalesce(*parts, none) if parts else none)
 
 
 def candidates_exact(events: DataFrame, conditions: DataFrame) -> DataFrame:
     """(seq, rule_id) where an indexed ``field == value`` or ``IN`` condition of the rule's source hits."""
-    indexed = conditions.where(F.col("op").isin(EXACT) & (F.size("fields") == 1))
-    index = indexed.select(
-        "rule_id", "source", "schema_version", F.col("fields")[0].alias("field"), F.explode("values").alias("value")
-    ).dropDuplicates()
-    paths = [r[0] for r in index.select("field").distinct().limit(10_001).collect()]
-    if len(paths) > 10_000:
-        raise ValueError("more than 10000 indexed fields")
-    if not paths:
-        return events.select("seq", F.lit(None).cast("string").alias("rule_id")).where("false")
-    entries = F.array(
-        *[F.struct(F.lit(p).alias("field"), field(F.col("event"), p, "string").alias("value")) for p in sorted(paths)]
-    )
-    probe = events.select("seq", "source", "schema_version", F.inline(entries)).where("value is not null")
-    hits = probe.join(index, ["source", "schema_version", "field", "value"])
-    return hits.select("seq", "rule_id").dropDuplicates()
+    return _pairs(candidate_ids(events, conditions, undecided=False))
 
 
 def candidates_complex(events: DataFrame, conditions: DataFrame) -> DataFrame:
     """(seq, rule_id) for every rule of the event's source and version that an index cannot decide:
     one with a non-exact condition or with no condition at all."""
-    inexact = F.col("op").isNull() | ~F.col("op").isin(EXACT) | (F.size("fields") != 1)
-    index = conditions.where(inexact).select("rule_id", "source", "schema_version").dropDuplicates()
-    return events.select("seq", "source", "schema_version").join(index, ["source", "schema_version"]).select("seq", "rule_id")
+    return _pairs(candidate_ids(events, conditions, exact=False))
 
 
 def candidates(events: DataFrame, conditions: DataFrame) -> DataFrame:
-    """Rules worth evaluating for each event: exact or undecidable by index. ``conditions`` come from
-    live rules only, so nothing has to be masked afterwards."""
-    both = candidates_exact(events, conditions).unionByName(candidates_complex(events, conditions))
-    return both.dropDuplicates()
+    """Both, as pairs. ``conditions`` come from live rules only, so nothing has to be masked afterwards."""
+    return _pairs(candidate_ids(events, conditions))
+
+
+def _pairs(events: DataFrame) -> DataFrame:
+    return events.select("seq", F.explode("candidates").alias("rule_id"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -73,6 +107,7 @@ class FieldColumns:
         self.sources = {t["source"] for r in rules for t in r.get("trigger_criteria", [])}
         self.names: dict[tuple[str | None, str | None, str], str] = {}
         self.numbers: dict[str, str] = {}
+        self.texts: dict[str, str] = {}
 
     def text(self, name: str) -> str:
         """Column with the text form of ``name``: a payload path, ``<source>[.<version>].<path>`` or
@@ -83,6 +118,11 @@ class FieldColumns:
         """Column with the numeric reading of ``name``."""
         return self.numbers.setdefault(self.column_of(name), f"_n{len(self.numbers)}")
 
+    def is_text(self, name: str) -> str:
+        """Column that tells whether ``name`` holds a JSON text; a profile field is one."""
+        of = self.column_of(name)
+        return "true" if of in self.profile.values() else self.texts.setdefault(of, f"_s{len(self.texts)}")
+
     def column_of(self, name: str) -> str:
         if name in self.profile:
             return self.profile[name]
@@ -99,6 +139,9 @@ class FieldColumns:
 
     def extract(self, df: DataFrame) -> DataFrame:
         columns = {}
+        for (_, _, path), out in self.names.items():
+            if out in self.texts:
+                columns[self.texts[out]] = F.coalesce(F.schema_of_variant(field(F.col("event"), path)) == "STRING", F.lit(False))
         for (source, version, path), out in self.names.items():
             value = field(F.col("event"), path, "string")
             guard = F.lit(True)

@@ -12,7 +12,10 @@ from typing import Callable, Protocol
 
 from tidewatch.functions.arithmetic import arithmetic
 
+WHOLE = r"^[+-]?[0-9]{1,38}$"
 ISO_TIME = re.compile(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}")
+# Below it every whole number has a double of its own, and no other whole number shares it: comparing doubles
+# is exact for such a literal, whatever the event holds.
 EXACT_INTEGER = 2**53
 COMPARE = {"==": "=", "!=": "<>", ">": ">", "<": "<", ">=": ">=", "<=": "<="}
 STRING_TESTS = {"STARTS_WITH": "startswith", "ENDS_WITH": "endswith", "CONTAINS": "contains"}
@@ -25,6 +28,8 @@ class Fields(Protocol):
 
     def number(self, name: str) -> str: ...
 
+    def is_text(self, name: str) -> str: ...
+
 
 def quoted(literal: str) -> str:
     return "'" + literal.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -42,21 +47,40 @@ def _compare_literal(op: str, left: str, literal, numbers: str) -> str:
     """The left side read in the literal's type, compared with it."""
     sign = COMPARE[op]
     if isinstance(literal, bool):
-        return f"try_cast({left} AS boolean) {sign} {str(literal).lower()}"
-    if isinstance(literal, int) and abs(literal) > EXACT_INTEGER:
-        return f"try_cast({left} AS decimal(38,0)) {sign} {literal}BD"
+        return f"CASE lower({left}) WHEN 'true' THEN true WHEN 'false' THEN false END {sign} {str(literal).lower()}"
+    if isinstance(literal, int) and abs(literal) >= EXACT_INTEGER:
+        return _whole_or_double(left, None, f"{literal}BD", numbers, _double(literal), sign)
     if isinstance(literal, (int, float)):
         return f"{numbers} {sign} {_double(literal)}"
     if ISO_TIME.match(literal):
         return f"try_to_timestamp({left}) {sign} try_to_timestamp({quoted(literal)})"
-    return f"{left} {sign} {quoted(literal)}"
+    if op in ("==", "!="):
+        return f"{left} {sign} {quoted(literal)}"
+    # Order is defined for numbers and times only.
+    return f"{numbers} {sign} {_double(_as_number(literal))}"
+
+
+def _as_number(literal: str) -> float:
+    try:
+        return float(literal)
+    except ValueError:
+        raise ValueError(f"no order is defined for the text {literal!r}") from None
+
+
+def _whole_or_double(left: str, right: str | None, right_exact: str, left_number: str, right_number: str, sign: str) -> str:
+    """Whole numbers exactly, others as doubles. ``right`` is the right side's text, None for a literal."""
+    whole = " AND ".join(f"{t} RLIKE {quoted(WHOLE)}" for t in (left, right) if t)
+    return f"CASE WHEN {whole} THEN try_cast({left} AS decimal(38,0)) {sign} {right_exact} ELSE {left_number} {sign} {right_number} END"
 
 
-def _compare_fields(op: str, left: str, right: str, by_number: str) -> str:
-    """Numbers by value, times by instant, anything else (equality only) by text."""
+def _compare_fields(op: str, left: str, right: str, numbers: tuple[str, str], both_texts: str) -> str:
+    """Two JSON texts are equal as texts only. Else numbers compare by value, whole ones exactly, times by
+    instant, anything else (equality only) by text."""
     sign = COMPARE[op]
-    other = f"{left} {sign} {right}" if op in ("==", "!=") else f"try_to_timestamp({left}) {sign} try_to_timestamp({right})"
-    return f"coalesce({by_number}, {other})"
+    by_number = _whole_or_double(left, right, f"try_cast({right} AS decimal(38,0))", *numbers, sign)
+    if op in ("==", "!="):
+        return f"CASE WHEN {both_texts} THEN {left} {sign} {right} ELSE coalesce({by_number}, {left} {sign} {right}) END"
+    return f"coalesce({by_number}, try_to_timestamp({left}) {sign} try_to_timestamp({right}))"
 
 
 def _member(left: str, literals: list, numbers: str) -> str:
@@ -102,8 +126,11 @@ def leaf(expression: dict, fields: Fields) -> str:
     if expression.get("right_expr"):
         return _sure(f"{numbers} {COMPARE[op]} {arithmetic(expression['right_expr'], fields.number)}")
     if expression.get("right_field"):
-        by_number = f"{numbers} {COMPARE[op]} {fields.number(expression['right_field'])}"
-        return _sure(by_number if numeric else _compare_fields(op, left, fields.text(expression["right_field"]), by_number))
+        other = expression["right_field"]
+        if numeric:
+            return _sure(f"{numbers} {COMPARE[op]} {fields.number(other)}")
+        both_texts = f"{fields.is_text(name)} AND {fields.is_text(other)}"
+        return _sure(_compare_fields(op, left, fields.text(other), (numbers, fields.number(other)), both_texts))
     return _sure(_compare_literal(op, left, value, numbers))
 
 
@@ -113,7 +140,10 @@ def _reads_number(expression: dict) -> bool:
         return True
     value = expression.get("value")
     literals = value if isinstance(value, list) else [value]
-    return any(isinstance(v, (int, float)) and not isinstance(v, bool) for v in literals)
+    ordered = expression["op"].upper() in (">", "<", ">=", "<=", "BETWEEN")
+    return any(
+        isinstance(v, (int, float)) and not isinstance(v, bool) or ordered and isinstance(v, str) and not ISO_TIME.match(v) for v in literals
+    )
 
 
 def dnf(groups: list[list[dict]], leaf_of: Callable[[dict], str]) -> str:

@@ -12,7 +12,8 @@ from tidewatch.operators.predicates import leaves
 from tidewatch.operators.scans import CHUNK_ROWS, prior_max
 
 CONDITION = (
-    "struct<field:string,fields:array<string>,op:string,value:variant,dataset_id:string,dataset_version:string>"
+    "struct<field:string,fields:array<string>,op:string,value:variant,dataset_id:string,dataset_version:string,"
+    "function:string,expr:string,right_field:string,right_expr:string,negate:boolean>"
 )
 RULE_TYPE = (
     "rule_id string, rule_name string, rule_version string, trigger_criteria array<struct<source:string,"
@@ -20,7 +21,7 @@ RULE_TYPE = (
     f"conditions:array<array<{CONDITION}>>>>"
 )
 EXACT = ["==", "IN"]
-MAX_RULES = 20_000
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"
 
 
 def is_delete() -> Column:
@@ -61,7 +62,8 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
     """One row per trigger condition of ``rules`` (``rule_id``, ``rule_json``).
 
     A trigger without conditions keeps one row with a null ``op``. ``values`` is the text form of
-    the literal, one element unless it is a list.
+    the literal, one element unless it is a list. ``index_by`` is ``text`` or ``number`` where an equality of the
+    field with one of the values, read as such, decides the condition, and null for every other condition.
     """
     doc = F.from_json("rule_json", RULE_TYPE)
     # Scalars leave the trigger before the next explode, so only what is needed travels on.
@@ -79,6 +81,15 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
     conds = groups.select(*head, "group_no", F.posexplode_outer("g").alias("cond_no", "c"))
     value = F.col("c.value")
     listed = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
+    plain = F.lit(True)
+    for part in ("function", "expr", "right_field", "right_expr"):
+        plain = plain & F.col(f"c.{part}").isNull()
+    single = F.coalesce(F.size("c.fields"), F.lit(0)) + F.when(F.col("c.field").isNull(), 0).otherwise(1) == 1
+    plain = plain & single & ~F.coalesce(F.col("c.negate"), F.lit(False)) & F.upper("c.op").isin(EXACT)
+    # The literal's JSON type, without a list's brackets; a list of several types reads as VARIANT.
+    kind = F.regexp_replace(F.schema_of_variant(value), r"^ARRAY<(.*)>$", "$1")
+    numeric = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+    index_by = F.when(plain & (kind == "STRING") & (listed | ~text(value).rlike(ISO_TIME)), "text").when(plain & numeric, "number")
     return conds.select(
         *head,
         "group_no",
@@ -90,18 +101,17 @@ def rule_conditions(rules: DataFrame) -> DataFrame:
         .alias("values"),
         F.col("c.dataset_id").alias("dataset_id"),
         F.col("c.dataset_version").alias("dataset_version"),
+        index_by.alias("index_by"),
     )
 
 
 def parse_rules(rules: DataFrame) -> list[dict]:
     """Live rules on the driver, as documents; the change row's id and cooldown are the rule's own.
 
-    A rule catalogue is configuration: its size is checked before it is read.
+    A rule catalogue is configuration, and every rule becomes part of the plan, which the driver holds as well.
     """
     cooldown = F.col("cooldown_seconds") if "cooldown_seconds" in rules.columns else F.lit(0)
-    rows = rules.select("rule_id", "rule_json", cooldown.alias("cooldown")).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} live rules")
+    rows = rules.select("rule_id", "rule_json", cooldown.alias("cooldown")).collect()
     parsed = []
     for row in sorted(rows, key=lambda r: r["rule_id"]):
         doc = json.loads(row["rule_json"])

@@ -105,13 +105,16 @@ def _accepted_of_hot(rows: DataFrame, keys: list[str], ttl: int, span: int) -> D
 
 
 def ensure_checkpoint_dir(spark) -> None:
-    """Uses the shared folder the cluster names; a folder of its own only where none is set."""
+    """Uses the shared folder the cluster names."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
 def shared_dir(spark) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a session in one process may go without the setting."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return named or tempfile.mkdtemp(prefix="tidewatch-")
 
 

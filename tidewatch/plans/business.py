@@ -143,10 +143,9 @@ def biz_promo(spark, sf_dir):
 GIFT = rule("gift", "CPM", [[cond("data.request.billCode", "IN", ["B1", "B5"])]], node("data.request.billCode", "!=", ""))
 
 
-@query("biz_gift", events_sql(f"SELECT seq, {phone_sql(PHONE)} AS partition_key, 'gift' AS rule_id FROM e WHERE source = 'CPM' AND {BILL} IN ('B1', 'B5') AND {phone_sql(PHONE)} IS NOT NULL"))
+@query("biz_gift", events_sql(f"SELECT seq, coalesce({phone_sql(PHONE)}, {PHONE}) AS partition_key, 'gift' AS rule_id FROM e WHERE source = 'CPM' AND {BILL} IN ('B1', 'B5')"))
 def biz_gift(spark, sf_dir):
-    hits = evaluate_rules(stream_events(spark, sf_dir), [GIFT], "t", "seq").select("seq", "partition_key", "rule_id")
-    return hits.where("partition_key like '+%'")
+    return evaluate_rules(stream_events(spark, sf_dir), [GIFT], "t", "seq").select("seq", "partition_key", "rule_id")
 
 
 TOLL_REFUND = rule(

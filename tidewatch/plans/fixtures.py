@@ -13,7 +13,7 @@ q AS (
   SELECT *, CASE event_id % 7 WHEN 0 THEN '0' || n WHEN 1 THEN '84' || n WHEN 2 THEN '+84' || n
                   WHEN 3 THEN '0084' || n WHEN 4 THEN n
                   WHEN 5 THEN ' (0' || substr(n,1,2) || ') ' || substr(n,3,3) || '.' || substr(n,6,4)
-                  ELSE CASE WHEN event_id % 5 = 0 THEN 'NOT_A_PHONE_' || cast(user_id AS string) ELSE '0' || n END
+                  ELSE CASE WHEN event_id % 5 = 0 THEN 'no number ' || cast(user_id AS string) ELSE '0' || n END
              END AS phone,
          CASE event_type WHEN 'purchase' THEN 'CPM' WHEN 'error' THEN 'CDCN'
                          WHEN 'signup' THEN 'TDH' ELSE 'EVT' END AS source
@@ -23,7 +23,7 @@ j AS (
       || CASE WHEN event_id % 73 = 0 THEN ',"msisdn":null' ELSE ',"msisdn":"' || phone || '"' END
       || ',"eventType":"' || event_type || '"'
       || CASE WHEN event_id % 83 = 0 THEN ''
-              WHEN event_id % 79 = 0 THEN ',"amount":"STRING_NOT_NUMBER"'
+              WHEN event_id % 79 = 0 THEN ',"amount":"twelve"'
               WHEN event_id % 71 = 0 THEN ',"amount":-' || cast(amt AS string)
               WHEN event_id % 61 = 0 THEN ',"amount":"' || cast(amt AS string) || '"'
               ELSE ',"amount":' || cast(amt AS string) END
@@ -33,7 +33,7 @@ j AS (
       || '}' AS body
   FROM q)
 SELECT event_id AS seq, ts, user_id, 'T-' || source AS topic, source,
-       CASE WHEN event_id % 97 = 0 THEN substr(body, 1, 25) || '...{BROKEN'
+       CASE WHEN event_id % 97 = 0 THEN substr(body, 1, 31)
             WHEN event_id % 89 = 0 THEN '[1,2]'
             WHEN event_id % 67 = 0 THEN '   '
             ELSE body END AS payload
@@ -55,14 +55,14 @@ j AS (
       || '"schema_version":"v1","batch_id":"B' || lpad(cast(d AS string), 2, '0') || '"'
       || ',"snapshot_time":"2024-01-' || lpad(cast(CASE WHEN k % 37 = 0 THEN 1 ELSE d END AS string), 2, '0') || 'T02:00:00+00:00"'
       || ',"sync_mode":"' || CASE WHEN k % 31 = 0 THEN 'INVALID' ELSE lower(mode) END || '"'
-      || ',"key_field":"msisdn","key_value":"' || CASE WHEN k % 29 = 0 THEN 'CORRUPTED_' || cast(k AS string) ELSE phone END || '"'
+      || ',"key_field":"msisdn","key_value":"' || CASE WHEN k % 29 = 0 THEN 'key?' || cast(k AS string) ELSE phone END || '"'
       || CASE WHEN k % 23 = 0 THEN '' ELSE ',"data":{' ||
            CASE WHEN k % 17 = 0 THEN '' ELSE '"sub_code":"' || CASE WHEN k % 19 = 0 THEN 'BAD' ELSE 'VTM' || cast(1 + k % 4 AS string) END || '",' END
            || '"balance":' || cast(bal AS string) || ',"segment":"' || seg || '"}' END
       || '}' AS body
   FROM p)
 SELECT k AS seq, 'batch_' || ds AS topic,
-       CASE WHEN k % 53 = 0 THEN '{"dataset_name": "corrupted... [MALFORMED' ELSE body END AS payload
+       CASE WHEN k % 53 = 0 THEN substr(body, 1, 40) ELSE body END AS payload
 FROM j
 """
 

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import report
 from tidewatch.operators.datasets import in_dataset
-from tidewatch.operators.match import FieldColumns, candidates, candidates_complex, candidates_exact, match_rules, partition_key
-from tidewatch.operators.rules import rule_conditions
+from tidewatch.operators.match import FieldColumns, candidate_ids, candidates, candidates_complex, candidates_exact, events_of, match_rules, partition_key
+from tidewatch.operators.rules import parse_rules, rule_conditions
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import dataset_rows, events_sql, phone_sql, query, stream_events
 from tidewatch.functions.values import field
@@ -50,6 +50,28 @@ def candidates_all_query(spark, sf_dir):
     return candidates(stream_events(spark, sf_dir), nation_conditions(spark, sf_dir))
 
 
+# One rule per nation with a condition that no text index decides as it stands.
+COVER_RULES = """SELECT 'C' || cast(n_nationkey AS string) AS rule_id, '{"trigger_criteria":[{"source":"'
+  || CASE n_regionkey % 4 WHEN 0 THEN 'CPM' WHEN 1 THEN 'CDCN' WHEN 2 THEN 'TDH' ELSE 'EVT' END || '","schema_version":"v1","key_field":"msisdn","conditions":[['
+  || CASE n_nationkey % 8 WHEN 0 THEN '{"field":"device_session_id","op":"==","value":2,"function":"LENGTH"}'
+     WHEN 1 THEN '{"field":"msisdn","op":"==","right_field":"data.request.msisdn"}'
+     WHEN 2 THEN '{"expr":"eventId % 10","op":"==","value":' || cast(n_nationkey % 10 AS string) || '}'
+     WHEN 3 THEN '{"field":"eventId","op":"IN","value":[' || cast(n_nationkey AS string) || ',' || cast(n_nationkey * 7 AS string) || '.0]}'
+     WHEN 4 THEN '{"field":"amount","op":"==","value":12.5}'
+     WHEN 5 THEN '{"field":"status","op":"==","value":"SUCCESS"},{"field":"device_session_id","op":"IN","value":["S1","S' || cast(n_nationkey AS string) || '"]}'
+     WHEN 6 THEN '{"field":"CPM.v1.status","op":"==","value":"SUCCESS"}'
+     ELSE '{"field":"eventType","op":"!=","value":"view"}' END || ']]}]}' AS rule_json FROM nation"""
+
+
+@query("candidates_cover_hits", "SELECT event_id AS seq, 'none' AS rule_id FROM events WHERE false")
+def candidates_cover_hits(spark, sf_dir):
+    """Hits that are no candidates: none may be."""
+    docs = fx.view(spark, sf_dir, COVER_RULES)
+    events = candidate_ids(stream_events(spark, sf_dir), rule_conditions(docs))
+    hits = match_rules(events, parse_rules(docs))
+    return hits.where(~F.array_contains("candidates", F.col("rule_id"))).select("seq", "rule_id")
+
+
 def cond(f, op, value=None, **more):
     return {"field": f, "op": op, "value": value, **more}
 
@@ -173,6 +195,26 @@ predicates("pred_expr", [
     ("expr_between", {"expr": "eventId / 7", "op": "BETWEEN", "value": [10, 20]}, f"{ID} / 7 BETWEEN 10 AND 20"),
 ])
 
+# Values that differ as texts, whole numbers or booleans and would be one as doubles.
+TYPED = """SELECT c_custkey AS seq, 'TYP' AS source, '{"code":"' || CASE c_custkey % 3 WHEN 0 THEN '007' WHEN 1 THEN '7' ELSE '07' END
+  || '","same":"7","account":"1234567890123456789' || cast(c_custkey % 4 AS string) || '","other":"12345678901234567891","big":'
+  || cast(9007199254740990 + c_custkey % 5 AS string) || ',"flag":' || CASE c_custkey % 5 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN '"yes"' WHEN 3 THEN '"true"' ELSE 'false' END
+  || ',"n":"' || cast(c_custkey % 60 AS string) || '","m":' || cast(c_custkey % 7 AS string) || '}' AS payload FROM customer"""
+TYPED_TESTS = [
+    ("texts", cond("code", "==", right_field="same"), "c_custkey % 3 = 1"), ("texts_ne", cond("code", "!=", right_field="same"), "c_custkey % 3 <> 1"),
+    ("accounts", cond("account", "==", right_field="other"), "c_custkey % 4 = 1"), ("long", cond("big", "==", 9007199254740993), "c_custkey % 5 = 3"),
+    ("long_gt", cond("big", ">", 9007199254740992), "c_custkey % 5 > 2"), ("true", cond("flag", "==", True), "c_custkey % 5 IN (0, 3)"),
+    ("false", cond("flag", "!=", True), "c_custkey % 5 = 4"), ("order", cond("n", ">", "9"), "c_custkey % 60 > 9"),
+    ("text_number", cond("code", "==", right_field="m"), "c_custkey % 3 IN (0, 1, 2) AND c_custkey % 7 = 7"),
+]
+
+
+@query("pred_typed", " UNION ALL ".join(f"SELECT c_custkey AS seq, '{i}' AS rule_id FROM customer WHERE {t}" for i, _, t in TYPED_TESTS))
+def pred_typed(spark, sf_dir):
+    rules = [rule(i, "TYP", [[c]]) for i, c, _ in TYPED_TESTS]
+    return match_rules(events_of(fx.view(spark, sf_dir, TYPED)), rules).select("seq", "rule_id")
+
+
 TIMED = """SELECT o_orderkey AS seq, 'ORD' AS source, '{"created":"' || cast(cast(o_orderdate AS date) AS string) || 'T00:00:00Z","paid":"'
   || cast(cast(o_orderdate AS date) AS string) || CASE WHEN o_orderkey % 3 = 0 THEN 'T07:00:00+07:00' ELSE 'T05:00:00+00:00' END || '"}' AS payload FROM orders"""
 TIME_TESTS = [
@@ -184,8 +226,6 @@ TIME_TESTS = [
 
 @query("pred_timestamp", " UNION ALL ".join(f"SELECT o_orderkey AS seq, '{i}' AS rule_id FROM (SELECT o_orderkey, date_trunc('day', o_orderdate) AS o_orderdate FROM orders) o WHERE {t}" for i, _, t in TIME_TESTS))
 def pred_timestamp(spark, sf_dir):
-    from tidewatch.operators.match import events_of
-
     rules = [rule(i, "ORD", [[c]]) for i, c, _ in TIME_TESTS]
     return match_rules(events_of(fx.view(spark, sf_dir, TIMED)), rules).select("seq", "rule_id")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RECORD = "topic string, key string, payload string, ts timestamp"
@@ -31,16 +33,28 @@ def records(kafka: DataFrame) -> DataFrame:
 
 
 def read_topics(spark: SparkSession, source_map: list[dict], streaming: bool = True) -> DataFrame:
-    """One reader per cluster of ``source_map`` (see :func:`cluster_topics`), as one stream of records."""
+    """One reader per cluster of ``source_map`` (see :func:`cluster_topics`) that has topics, as one stream of
+    records; an empty one when no cluster has any."""
     readers = []
     for cluster in source_map:
+        if not cluster["topics"]:
+            continue
         options = kafka_options(cluster["bootstrap_servers"], topics=cluster["topics"], **cluster.get("properties", {}))
         reader = spark.readStream if streaming else spark.read
         readers.append(records(reader.format("kafka").options(**options).load()))
-    out = readers[0]
-    for other in readers[1:]:
-        out = out.unionByName(other)
-    return out
+    if not readers:
+        none = spark.readStream.format("rate").load() if streaming else spark.range(0)
+        names = [part.split() for part in RECORD.split(", ")]
+        return none.where("false").select(*[F.lit(None).cast(kind).alias(name) for name, kind in names])
+    return reduce(DataFrame.unionByName, readers)
+
+
+def read_pattern(spark: SparkSession, servers: str, pattern: str, streaming: bool = True, **extra: str) -> DataFrame:
+    """The records of all topics whose name matches ``pattern``."""
+    options = kafka_options(servers, pattern=pattern, **extra)
+    if not streaming:
+        options["startingOffsets"] = "earliest"
+    return records((spark.readStream if streaming else spark.read).format("kafka").options(**options).load())
 
 
 def cluster_topics(clusters: DataFrame, topics: DataFrame) -> DataFrame:
