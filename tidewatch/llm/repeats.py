@@ -271,7 +271,8 @@ def with_spans(documents: DataFrame) -> DataFrame:
     """``documents`` with ``marks``: for each phrase of the text that has repeated windows, its ``at`` and ``mask``
     (null: all of them)."""
     parsed = table(occurrences(documents), "repeat-parse")
-    shared = parsed.groupBy("context").agg(F.count("*").alias("_n")).where("_n > 1").select("context")
+    # A table of its own: both sides of the join are then plain shuffles, of which Spark splits the skewed ones.
+    shared = table(parsed.groupBy("context").agg(F.count("*").alias("_n")).where("_n > 1").select("context"), "repeat-contexts")
     own = ["context", "phrase", "k1", "k2", "at"]
     suspects = table(parsed.join(shared, "context").groupBy(*own).agg(F.count("*").alias("c")), "repeat-suspects")
     drop_table(parsed)
