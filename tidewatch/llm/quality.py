@@ -10,7 +10,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.common import text_of
 
@@ -155,8 +155,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, options: Options) -
         .agg(F.min("quality").alias("label"), F.max("quality").alias("_other"))
         .where("label = _other")
     )
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = sure.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= options.per_label).select("doc_id", "label")
+    # A limit for each label keeps its best rows in every task; a window would gather a label in one.
+    by_hash = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
+    poor, good = (sure.where(F.col("label") == y).orderBy(*by_hash).limit(options.per_label) for y in (0, 1))
+    chosen = poor.unionByName(good).select("doc_id", "label")
     texts = documents.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
     own = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("text").alias("_other"), F.first("label").alias("label"))
     return own.where("text = _other").select("doc_id", "text", "label")
