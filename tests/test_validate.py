@@ -52,6 +52,20 @@ def test_stream_levels(spark):
     assert [e.code for e in got[13].errors] == ["ERR_TYPE_MISMATCH"]
 
 
+def test_checks_and_the_emitted_event_see_normalised_keys(spark):
+    doc = {**TRANSFER, "fields": {**TRANSFER["fields"], "msisdn": {"type": "STRING", "regex_pattern": r"\+84\d{9}", "max_length": 12}}}
+    del doc["key_definition"]
+    got = stream(spark, [
+        ("pay-topic", {"msisdn": "0377000111", "transAmount": 5, "custMobileNo": "0912222333", "more": {"a": [1]}}),
+        ("pay-topic", {"msisdn": "BAD", "transAmount": 5}), ("pay-topic", {"msisdn": 377000111, "transAmount": 5}),
+        ("pay-topic", {"custMobileNo": "what", "transAmount": 5}), ("pay-topic", {"msisdn": "+4915112345", "transAmount": 5}),
+    ], doc)
+    assert [got[i].error_code for i in range(5)] == [None, "ERR_STREAM_INVALID_KEY_FORMAT", None, None, "ERR_STREAM_VALIDATION_FAILED"]
+    assert json.loads(got[0].event.toJson()) == {"msisdn": "+84377000111", "transAmount": 5, "custMobileNo": "+84912222333", "more": {"a": [1]}}
+    assert json.loads(got[2].event.toJson())["msisdn"] == "+84377000111"
+    assert json.loads(got[3].event.toJson()) == {"custMobileNo": "what", "transAmount": 5}
+
+
 def test_allow_null_key_and_no_normalising(spark):
     lenient = {**TRANSFER, "key_definition": {**KEY, "allow_null": True}}
     plain = {**TRANSFER, "key_definition": {**KEY, "auto_normalize": False}}

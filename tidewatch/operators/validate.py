@@ -153,7 +153,10 @@ def check_stream(
     df: DataFrame, schemas: DataFrame, check_format: bool = False, check_country: bool = False,
 ) -> DataFrame:
     """Stream events with ``error_code``, ``errors``, ``schema_id``, the normalised ``event_key`` and
-    ``secondary_key``, and the parsed payload as ``event``. One pass, no shuffle."""
+    ``secondary_key``, and the parsed payload as ``event``, in which both stand normalised. One pass, no shuffle.
+
+    Keys are normalised before the field checks, which see the normalised form. A key definition, or an option of
+    it, that a schema leaves out has its default: ``msisdn``, normalised, not null, country code 84."""
     reg = Registry.of(schemas)
     parsed = df.withColumn("event", F.when(_has_text("payload"), F.try_parse_json("payload")))
     event = F.col("event")
@@ -166,7 +169,8 @@ def check_stream(
     keyed = found.select(
         "*",
         raw.alias("_raw"),
-        per_key(lambda k: F.lit(bool(k.get("auto_normalize")))).alias("_auto"),
+        per_key(lambda k: F.lit(k.get("field") or "msisdn")).alias("_key_name"),
+        per_key(lambda k: F.lit(k.get("auto_normalize") is not False)).alias("_auto"),
         per_key(lambda k: F.lit(bool(k.get("allow_null")))).alias("_allow_null"),
         per_key(lambda k: F.lit(k.get("default_country_code") or "84")).alias("_cc"),
     )
@@ -183,19 +187,28 @@ def check_stream(
         .when(F.col("schema_id").isNull(), "ERR_STREAM_SCHEMA_NOT_FOUND")
         .when(F.col("_auto") & bad_key, "ERR_STREAM_INVALID_KEY_FORMAT")
     )
-    judged = keyed.withColumn("_early", early)
+    judged = keyed.withColumns({"_early": early, "_second": field(event, SECONDARY_PHONE, "string")})
+    judged = judged.withColumn("_norm_second", normalize_key(F.col("_second"), F.col("_cc")))
+    # Each key's normalised form where it has one that differs from what the payload holds.
+    new_key = F.when(F.col("_norm_key") != F.col("_raw_key"), F.col("_norm_key"))
+    new_second = F.when(F.col("_norm_second") != F.col("_second"), F.col("_norm_second"))
+    parts = F.try_variant_get(event, "$", "map<string,variant>")
+    rewritten = F.to_variant_object(F.transform_values(parts, lambda k, v: F.when(
+        (k == F.col("_key_name")) & new_key.isNotNull(), new_key.cast("variant")
+    ).when((k == F.lit(SECONDARY_PHONE)) & new_second.isNotNull(), new_second.cast("variant")).otherwise(v)))
+    changes = F.col("_auto") & F.col("_early").isNull() & (new_key.isNotNull() | new_second.isNotNull())
+    judged = with_once(judged, event=F.when(changes, rewritten).otherwise(event))
     judged = with_constraint_errors(
         judged, reg, "STREAM", "event", F.col("_early").isNull(), F.lit(True), check_format
     )
-    second = field(event, SECONDARY_PHONE, "string")
-    clean_second = F.coalesce(normalize_key(second, F.col("_cc")), second)
+    second, clean_second = F.col("_second"), F.coalesce("_norm_second", "_second")
     return with_once(
         judged,
         errors=F.col("errors"),
         error_code=F.coalesce("_early", F.when(F.size("errors") > 0, "ERR_STREAM_VALIDATION_FAILED")),
         event_key=F.when(F.col("_auto"), F.coalesce("_norm_key", "_raw_key")).otherwise(F.col("_raw_key")),
         secondary_key=F.when(F.col("_auto"), clean_second).otherwise(second),
-    ).drop("_raw", "_auto", "_allow_null", "_cc", "_raw_key", "_norm_key", "_early")
+    ).drop("_raw", "_key_name", "_auto", "_allow_null", "_cc", "_raw_key", "_norm_key", "_early", "_second", "_norm_second")
 
 
 def _envelope(df: DataFrame) -> DataFrame:

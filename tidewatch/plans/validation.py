@@ -68,6 +68,25 @@ def stream_validate_ok(spark, sf_dir):
     return validate.valid(checked_stream(spark, sf_dir)).select("seq", "source", "event_key", "schema_id")
 
 
+@query("stream_validate_rewritten", ctes("fx_stream", **STREAM_CHECK) + "SELECT seq, event_key AS msisdn, try_cast(json_extract_string(j, '$.amount') AS double) AS amount FROM v WHERE error_code IS NULL")
+def stream_validate_rewritten(spark, sf_dir):
+    """What the emitted event itself holds."""
+    event = F.col("event")
+    good = validate.valid(checked_stream(spark, sf_dir))
+    return good.select("seq", field(event, "msisdn", "string").alias("msisdn"), field(event, "amount", "double").alias("amount"))
+
+
+@query("stream_validate_key_defaults", ctes("fx_stream", **STREAM_CHECK) + "SELECT seq, event_key FROM v WHERE error_code IS NULL")
+def stream_validate_key_defaults(spark, sf_dir):
+    """Schemas without a key definition, whose checks of the key hold for its normalised form only."""
+    key = {"type": "STRING", "regex_pattern": "[+]84[0-9]{9}", "min_length": 12, "max_length": 12}
+    docs = [{**d, "fields": {**d["fields"], "msisdn": key}} for d in fx.stream_schema_documents()]
+    for d in docs:
+        d.pop("key_definition", None)
+    schemas = Registry.of(read_schemas(schema_table(spark, docs), "seq"))
+    return validate.valid(validate.check_stream(fx.view(spark, sf_dir, fx.STREAM), schemas)).select("seq", "event_key")
+
+
 @query("stream_validate_errors", ctes("fx_stream", **STREAM_CHECK) + "SELECT seq, error_code, errors FROM v WHERE error_code IS NOT NULL")
 def stream_validate_errors(spark, sf_dir):
     listed = F.concat_ws(",", F.transform("errors", lambda e: F.concat(e["code"], F.lit(":"), e["field"])))
