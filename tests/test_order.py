@@ -51,7 +51,7 @@ def test_cooldown(spark):
 def test_sequences_against_brute_force(spark, slot, least, most):
     rows = rows_of(250, seed=2)
     a, b = [r for r in rows if r[3] == "A"], [r for r in rows if r[3] == "B"]
-    answers = {x[0]: [y[2] for y in b if y[1] == x[1] and x[2] + least <= y[2] <= x[2] + most] for x in a}
+    answers = {x[0]: [y[2] for y in b if y[1] == x[1] and x[2] + max(least, 1) <= y[2] <= x[2] + most] for x in a}
     df = frame(spark, rows)
     sides = (df.where("kind = 'A'"), df.where("kind = 'B'"), ["k"], "t", least, most, slot)
     assert {r.id: r.second_time for r in sequence.followed_by(*sides).collect()} == {i: min(t) for i, t in answers.items() if t}
@@ -124,3 +124,9 @@ def test_feature_helpers(spark):
     updates = spark.createDataFrame([("a", 1, 9), ("a", 2, None)], "k string, changed int, status int")
     merged = apply_corrections(rows.where("at = 1"), updates, "k", "changed")
     assert {(r.k, r.status, r.corrected) for r in merged.collect()} == {("a", 1, True), ("b", 1, False)}
+
+
+def test_an_event_does_not_answer_itself(spark):
+    df = spark.createDataFrame([(1, "k", 10), (2, "k", 14), (3, "q", 5)], "id int, k string, t bigint")
+    assert {r.id for r in sequence.followed_by(df, df, ["k"], "t", 0, 5).collect()} == {1}
+    assert {r.id for r in sequence.not_followed_by(df, df, ["k"], "t", 0, 5).collect()} == {2, 3}

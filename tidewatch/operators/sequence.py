@@ -139,7 +139,8 @@ def cooldown(hits: DataFrame, seconds: dict[str, int], time: str, tie: str, cold
 def _first_answer(
     first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int, slot: int,
 ) -> DataFrame:
-    asks = first.withColumn("_from", F.col(time) + F.lit(least))
+    # An answer comes later than its event, or an event both sides accept would answer itself.
+    asks = first.withColumn("_from", F.col(time) + F.lit(max(least, 1)))
     answered = asof(asks, second, on, "_from", time, F.col(time), "second_time", slot, forward=True)
     inside = F.col("second_time") <= F.col(time) + F.lit(most)
     return answered.withColumn("second_time", F.when(inside, F.col("second_time"))).drop("_from")
@@ -149,7 +150,7 @@ def followed_by(
     first: DataFrame, second: DataFrame, on: list[str], time: str, least: int, most: int, slot: int = SLOT,
 ) -> DataFrame:
     """``first`` events answered by a ``second`` event of the same ``on`` values between ``least`` and
-    ``most`` microseconds later, with the time of the earliest answer as ``second_time``.
+    ``most`` microseconds later (one at least), with the time of the earliest answer as ``second_time``.
 
     The earliest answer is all that is looked for, so no pairs are built inside a key.
     """

@@ -91,7 +91,7 @@ DROP_OFF = rule(
 _EVT = f"SELECT seq, t, {SESSION} AS sid, {text_sql('eventType')} AS kind FROM e WHERE source = 'EVT'"
 
 
-@query("biz_dropoff", events_sql(f"SELECT seq, 'drop_off' AS rule_id FROM v a WHERE kind = 'view' AND NOT EXISTS (SELECT 1 FROM v b WHERE b.kind = 'click' AND b.sid = a.sid AND b.t BETWEEN a.t AND a.t + {120 * 60_000_000})", v=_EVT))
+@query("biz_dropoff", events_sql(f"SELECT seq, 'drop_off' AS rule_id FROM v a WHERE kind = 'view' AND NOT EXISTS (SELECT 1 FROM v b WHERE b.kind = 'click' AND b.sid = a.sid AND b.t BETWEEN a.t + 1 AND a.t + {120 * 60_000_000})", v=_EVT))
 def biz_dropoff(spark, sf_dir):
     return evaluate_rule(stream_events(spark, sf_dir), DROP_OFF, "t", "seq").select("seq", "rule_id")
 
@@ -226,6 +226,6 @@ _WALK = greedy_sql(f"SELECT seq, t, coalesce(norm, raw) AS k FROM ({_BIG}) b WHE
 @query("evaluate_catalogue", f"""SELECT seq, 'big_purchase' AS rule_id FROM ({_WALK}) w
 UNION ALL (WITH fx_stream AS ({fx.STREAM}) SELECT seq, 'big_purchase' FROM ({_BIG}) b WHERE raw IS NULL)
 UNION ALL ({events_sql(f"SELECT seq, 'cheap_failure' FROM e WHERE source = 'CDCN' AND {STATUS} = 'FAILED' AND ({AMOUNT} < 5 OR ({BILL} IN ('B0', 'B9') AND {SESSION} <> 'S1'))")})
-UNION ALL ({events_sql(f"SELECT seq, 'drop_off' FROM v a WHERE kind = 'view' AND NOT EXISTS (SELECT 1 FROM v b WHERE b.kind = 'click' AND b.sid = a.sid AND b.t BETWEEN a.t AND a.t + {120 * 60_000_000})", v=_EVT)})""")
+UNION ALL ({events_sql(f"SELECT seq, 'drop_off' FROM v a WHERE kind = 'view' AND NOT EXISTS (SELECT 1 FROM v b WHERE b.kind = 'click' AND b.sid = a.sid AND b.t BETWEEN a.t + 1 AND a.t + {120 * 60_000_000})", v=_EVT)})""")
 def evaluate_catalogue(spark, sf_dir):
     return evaluate_rules(stream_events(spark, sf_dir), CATALOGUE, "t", "seq").select("seq", "rule_id")

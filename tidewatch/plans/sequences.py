@@ -52,7 +52,7 @@ def cooldown(spark, sf_dir):
     return sequence.cooldown(keyed, {"big_purchase": 86_400}, "t", "seq").select("seq", "rule_id")
 
 
-_ANSWER = f"SELECT 1 FROM c b WHERE b.object_name = 'RESULT' AND b.session_id = a.session_id AND b.t BETWEEN a.t AND a.t + {SIX_HOURS}"
+_ANSWER = f"SELECT 1 FROM c b WHERE b.object_name = 'RESULT' AND b.session_id = a.session_id AND b.t BETWEEN a.t + 1 AND a.t + {SIX_HOURS}"
 _CLICKS = ctes("fx_clicks", c="SELECT *, epoch_us(ts) AS t FROM fx_clicks")
 
 
@@ -61,7 +61,7 @@ def click_sides(spark, sf_dir):
     return c.where("object_name = 'CONTINUE'"), c.where("object_name = 'RESULT'")
 
 
-@query("followed_by", _CLICKS + f"SELECT event_id, session_id, (SELECT min(b.t) FROM c b WHERE b.object_name = 'RESULT' AND b.session_id = a.session_id AND b.t BETWEEN a.t AND a.t + {SIX_HOURS}) AS second_us FROM c a WHERE object_name = 'CONTINUE' AND EXISTS ({_ANSWER})")
+@query("followed_by", _CLICKS + f"SELECT event_id, session_id, (SELECT min(b.t) FROM c b WHERE b.object_name = 'RESULT' AND b.session_id = a.session_id AND b.t BETWEEN a.t + 1 AND a.t + {SIX_HOURS}) AS second_us FROM c a WHERE object_name = 'CONTINUE' AND EXISTS ({_ANSWER})")
 def followed_by(spark, sf_dir):
     first, second = click_sides(spark, sf_dir)
     found = sequence.followed_by(first, second, ["session_id"], "t", 0, SIX_HOURS)

@@ -42,7 +42,8 @@ class Absence(StatefulProcessor):
     """
 
     def __init__(self, key: str, least: int, most: int):
-        self.key, self.least, self.most = key, least, most
+        # An answer comes later than its event, or an event both sides accept would answer itself.
+        self.key, self.least, self.most = key, max(least, 1), most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
