@@ -58,12 +58,13 @@ def merge_deltas(deltas: DataFrame) -> DataFrame:
 
 def profile_of(delta: DataFrame) -> DataFrame:
     """The profile a merged delta amounts to: a field's last write, unless the key's dataset was replaced
-    or deleted after it. The window holds one row per field of the key's dataset."""
+    or deleted after it. ``batch_id`` and ``snapshot_ms`` are those of the dataset's last event, ``field_ms`` is the
+    snapshot time of the field's own last write. The window holds one row per field of the key's dataset."""
     whole = W.partitionBy("key_value", "dataset_name")
     touched = F.col("field").isNull()
     of_dataset = {c: F.max(F.when(touched, F.col(c))).over(whole) for c in ("reset", "batch_id", "snapshot_ms")}
     return (
-        delta.select("key_value", "dataset_name", "field", "value", "written", *[c.alias(n) for n, c in of_dataset.items()])
+        delta.select("key_value", "dataset_name", "field", "value", "written", F.col("snapshot_ms").alias("field_ms"), *[c.alias(n) for n, c in of_dataset.items()])
         .where("field is not null and (reset is null or written >= reset)")
         .drop("written", "reset")
     )
@@ -85,8 +86,8 @@ def membership(valid: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def unexpired(profile: DataFrame, as_of_ms: Column, ttl_ms: int = PROFILE_TTL_MS) -> DataFrame:
-    """Profile rows written less than ``ttl_ms`` before ``as_of_ms``."""
-    return profile.where(as_of_ms - F.col("snapshot_ms") < ttl_ms)
+    """Profile rows whose field was itself written less than ``ttl_ms`` before ``as_of_ms``."""
+    return profile.where(as_of_ms - F.col("field_ms") < ttl_ms)
 
 
 def active_batches(valid: DataFrame, order: str = "seq") -> DataFrame:

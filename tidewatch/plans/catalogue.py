@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import report
+from tidewatch.operators.datasets import in_dataset, load_datasets
 from tidewatch.operators.match import match_rules
 from tidewatch.operators.rules import live_rules, rule_classes, rule_conditions, upsert_rules
 from tidewatch.plans import fixtures as fx
-from tidewatch.plans.registry import ctes, events_sql, query, stream_events
+from tidewatch.plans.registry import ctes, dataset_rows, events_sql, query, stream_events
 from tidewatch.plans.validation import STREAM_CHECK, checked_stream
+from tidewatch.sources.changes import rule_changes, schema_changes
 from tidewatch.sources.records import cluster_topics
 
 CLUSTERS = "SELECT n_nationkey AS id, 'stream_' || cast(n_regionkey AS string) AS stream_id, n_name AS cluster_name, 'broker-' || cast(n_nationkey AS string) || ':9092' AS bootstrap_servers, n_nationkey % 4 <> 0 AS enabled FROM nation"
@@ -116,3 +118,44 @@ def metrics_errors(spark, sf_dir):
     return report.metrics(checked_stream(spark, sf_dir), F.col("ts").cast("timestamp")).select(
         F.unix_micros("window_start").alias("window_us"), "outcome", "events"
     )
+
+
+RULE_CHANGES = """SELECT n_nationkey AS seq, '{' || CASE WHEN n_nationkey % 6 = 5 THEN '' ELSE '"rule_id":"R' || cast(n_nationkey AS string) || '",' END
+  || '"name":"' || n_name || '","rule_json":"{}"' || CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE ',"version":' || cast(n_nationkey AS string) END
+  || CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE ',"enabled":true' END || CASE WHEN n_nationkey % 5 = 0 THEN ',"__deleted":"true"' ELSE '' END
+  || ',"__op":"c"}' AS payload FROM nation"""
+
+
+@query("rule_changes_parsed", """SELECT n_nationkey AS seq, CASE WHEN n_nationkey % 6 <> 5 THEN 'R' || n_nationkey END AS rule_id, n_name AS name, 0::BIGINT AS cooldown_seconds,
+  CASE WHEN n_nationkey % 3 = 0 THEN 0 ELSE n_nationkey END::BIGINT AS version, n_nationkey % 4 <> 0 AS enabled,
+  CASE WHEN n_nationkey % 5 = 0 THEN 'true' ELSE 'false' END AS deleted, 'c' AS op FROM nation""")
+def rule_changes_parsed(spark, sf_dir):
+    return rule_changes(fx.view(spark, sf_dir, RULE_CHANGES)).drop("rule_json")
+
+
+SCHEMA_CHANGES = """SELECT p_partkey AS seq, '{"schema_id":"S' || cast(p_partkey % 37 AS string) || '","schema_payload":"v' || cast(p_partkey AS string) || '"'
+  || CASE WHEN p_partkey % 11 = 0 THEN ',"__op":"d"' WHEN p_partkey % 13 = 0 THEN ',"__deleted":"TRUE"' ELSE '' END || '}' AS payload FROM part"""
+
+
+@query("schema_changes_current", """SELECT seq, schema_id, 'v' || seq AS schema_payload FROM (
+  SELECT max(p_partkey) AS seq, 'S' || (p_partkey % 37) AS schema_id FROM part GROUP BY 2) WHERE seq % 11 <> 0 AND seq % 13 <> 0""")
+def schema_changes_current(spark, sf_dir):
+    return schema_changes(fx.view(spark, sf_dir, SCHEMA_CHANGES))
+
+
+DATASET_DOCUMENTS = """SELECT '{"dataset_id":"D' || cast(c_nationkey AS string) || '"' || CASE WHEN c_custkey % 2 = 0 THEN ',"dataset_version":"v2"' ELSE '' END
+  || ',"fields":["a","b"],"values":[["' || c_mktsegment || '","' || cast(c_custkey % 5 AS string) || '"],["' || c_mktsegment || '","x"]]}' AS value FROM customer"""
+
+
+@query("load_datasets_rows", """SELECT DISTINCT 'D' || c_nationkey AS dataset_id, CASE WHEN c_custkey % 2 = 0 THEN 'v2' ELSE 'v1' END AS dataset_version, c_mktsegment AS a,
+  unnest([(c_custkey % 5)::VARCHAR, 'x']) AS b FROM customer""")
+def load_datasets_rows(spark, sf_dir):
+    rows = load_datasets(fx.view(spark, sf_dir, DATASET_DOCUMENTS))
+    return rows.select("dataset_id", "dataset_version", F.col("tuple")[0].alias("a"), F.col("tuple")[1].alias("b"))
+
+
+@query("in_dataset_arity", """SELECT event_id FROM events WHERE false""")
+def in_dataset_arity(spark, sf_dir):
+    """Members of a set of pairs among single values: none, as tuples match by their length."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("user"))
+    return in_dataset(events, [F.col("user")], dataset_rows(spark, sf_dir).where("dataset_id = 'user_type'"), "user_type").select("event_id")

@@ -11,13 +11,13 @@ from tidewatch.plans.registry import ctes, query
 from tidewatch.plans.validation import BATCH_CHECK, batch_sql, valid_batch
 
 _VALUES = """SELECT seq, key_value, dataset_name, unnest(['sub_code', 'balance', 'segment']) AS field,
-  unnest([json_extract_string(j, '$.data.sub_code'), json_extract_string(j, '$.data.balance'), json_extract_string(j, '$.data.segment')]) AS value
+  unnest([json_extract_string(j, '$.data.sub_code'), json_extract_string(j, '$.data.balance'), json_extract_string(j, '$.data.segment')]) AS value, snapshot_ms AS at_ms
   FROM ok WHERE sync_mode <> 'DELETE'"""
 FOLD = {
     "w": f"SELECT * FROM ({_VALUES}) x WHERE value IS NOT NULL",
     "r": "SELECT key_value, dataset_name, max(seq) FILTER (WHERE sync_mode IN ('FULL_SNAPSHOT', 'DELETE')) AS reset_seq FROM ok GROUP BY ALL",
     "m": "SELECT key_value, dataset_name, arg_max(batch_id, seq) AS batch_id, arg_max(snapshot_ms, seq) AS snapshot_ms FROM ok WHERE sync_mode <> 'DELETE' GROUP BY ALL",
-    "p": """SELECT key_value, dataset_name, field, arg_max(value, seq) AS value, max(batch_id) AS batch_id, max(snapshot_ms) AS snapshot_ms
+    "p": """SELECT key_value, dataset_name, field, arg_max(value, seq) AS value, max(batch_id) AS batch_id, max(snapshot_ms) AS snapshot_ms, arg_max(at_ms, seq) AS field_ms
       FROM w JOIN r USING (key_value, dataset_name) JOIN m USING (key_value, dataset_name)
       WHERE reset_seq IS NULL OR seq >= reset_seq GROUP BY key_value, dataset_name, field""",
     "act": "SELECT dataset_name, arg_max(batch_id, struct_pack(a := snapshot_ms, b := seq)) AS active_batch_id FROM ok GROUP BY ALL",
@@ -42,7 +42,7 @@ def profile_fold(spark, sf_dir):
 TTL_AT = 1704164400000 + 20 * 86_400_000
 
 
-@query("profile_ttl", batch_sql(f"SELECT key_value, dataset_name, field FROM p WHERE {TTL_AT} - snapshot_ms < {profile.PROFILE_TTL_MS}", **FOLD))
+@query("profile_ttl", batch_sql(f"SELECT key_value, dataset_name, field FROM p WHERE {TTL_AT} - field_ms < {profile.PROFILE_TTL_MS}", **FOLD))
 def profile_ttl(spark, sf_dir):
     return profile.unexpired(folded(spark, sf_dir), F.lit(TTL_AT)).select("key_value", "dataset_name", "field")
 
