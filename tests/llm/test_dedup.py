@@ -58,7 +58,7 @@ def near_copies(rng):
     return numbered + [numbered[0], numbered[1], (None, numbered[2][1]), (3, "another text of the third id")]
 
 
-@pytest.mark.parametrize("block", [3, 512])
+@pytest.mark.parametrize("block", [3])
 def test_near_duplicates_equal_brute_force(spark, documents, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     rows = near_copies(random.Random(12))
