@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.llm import minhash, near_vectors, packing, quality, repeats, topk, toxicity, url_lists
 from tidewatch.llm.bpe import encode
-from tidewatch.llm.common import id_bucket
+from tidewatch.llm.common import id_bucket, ship_package
 from tidewatch.llm.sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +19,15 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
-        return fn
+        return run
 
     return register
 
