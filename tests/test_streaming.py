@@ -82,6 +82,8 @@ def test_snapshot_marks_and_profile_cross_epochs(spark, tmp_path):
     from tidewatch.operators.profile import profile_of
 
     assert {(r.field, r.value) for r in profile_of(spark.read.parquet(str(tmp_path / "merged"))).collect()} == want
+    pipeline.compact_deltas(spark, out, 1, str(tmp_path / "first"))
+    assert {(r.field, r.value) for r in pipeline.live_profile(spark, out, str(tmp_path / "first"), 1).collect()} == want
 
 
 def test_rule_catalogue_is_read_per_epoch(spark, tmp_path):

@@ -98,9 +98,13 @@ def batch_validation(
     return start(records, work, f"{folder}/checkpoint", **trigger)
 
 
-def live_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """The profile all deltas written so far amount to."""
-    return profile.profile_of(profile.merge_deltas(spark.read.option("basePath", f"{folder}/deltas").parquet(f"{folder}/deltas").drop("epoch")))
+def live_profile(spark: SparkSession, folder: str, compacted: str | None = None, upto: int = 0) -> DataFrame:
+    """The profile all deltas written so far amount to. With ``compacted`` (see :func:`compact_deltas`) only the
+    epochs from ``upto`` on are read beside it."""
+    deltas = spark.read.option("basePath", f"{folder}/deltas").parquet(f"{folder}/deltas").where(F.col("epoch") >= upto).drop("epoch")
+    if compacted:
+        deltas = deltas.unionByName(spark.read.parquet(compacted))
+    return profile.profile_of(profile.merge_deltas(deltas))
 
 
 def compact_deltas(spark: SparkSession, folder: str, upto: int, target: str) -> None:
