@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewatch.llm.common import text_of
 
 DOCUMENTS_PER_BATCH = 512
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 150_000
 #: Runs of letters, digits and marks that make a token's shape.
 RUNS = ((re.compile(r"[^\W\d_]+"), None), (re.compile(r"\d+"), "0"), (re.compile(r"([^\w\s])\1+"), r"\1\1"))
 

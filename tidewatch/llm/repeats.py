@@ -17,7 +17,7 @@ GRAM, MARGIN = 12, 34
 REACH = LENGTH - 2 * MARGIN - GRAM + 1
 NEAR, FAR = MARGIN, MARGIN + REACH - 1
 #: Documents are parsed in pieces of about so many bytes.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Phrases compared in one group; triggers with more distinct phrases are compared by window instead.
 GROUP, CROWD = 20_000, 2_000
 
@@ -123,19 +123,21 @@ def occurrences(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.int64).reshape(-1, 2)
-            for group in pieces_of(batch.column("text").to_pylist()):
-                data = np.frombuffer(b"".join(g[2] for g in group), np.uint8)
-                ends = np.cumsum([len(g[2]) for g in group])
-                starts = ends - [len(g[2]) for g in group]
-                piece, own, lo, hi, context, phrase = parse(data, starts, ends)
-                owner = np.array([g[0] for g in group])[piece]
-                place = own - starts[piece] + np.array([g[1] for g in group])[piece]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(context.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(keys[owner, 0]), pa.array(keys[owner, 1]),
-                     pa.array(place << 16 | (own - hi) << 8 | (own - lo))],
-                    ["context", "phrase", "k1", "k2", "at"],
-                )
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keys = np.frombuffer(b"".join(part.column("key").to_pylist()), np.int64).reshape(-1, 2)
+                for group in pieces_of(part.column("text").to_pylist()):
+                    data = np.frombuffer(b"".join(g[2] for g in group), np.uint8)
+                    ends = np.cumsum([len(g[2]) for g in group])
+                    starts = ends - [len(g[2]) for g in group]
+                    piece, own, lo, hi, context, phrase = parse(data, starts, ends)
+                    owner = np.array([g[0] for g in group])[piece]
+                    place = own - starts[piece] + np.array([g[1] for g in group])[piece]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(context.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(keys[owner, 0]), pa.array(keys[owner, 1]),
+                         pa.array(place << 16 | (own - hi) << 8 | (own - lo))],
+                        ["context", "phrase", "k1", "k2", "at"],
+                    )
 
     keyed = documents.select(text_key().alias("key"), text_of().alias("text"))
     return keyed.mapInArrow(run, "context bigint, phrase bigint, k1 bigint, k2 bigint, at bigint")

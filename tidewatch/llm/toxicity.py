@@ -17,7 +17,7 @@ from tidewatch.llm.common import text_of
 WORD = re.compile(r"\w+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 DOCUMENTS_PER_BATCH = 512
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 
 
 @dataclass(frozen=True)
