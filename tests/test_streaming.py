@@ -93,7 +93,9 @@ def test_rule_catalogue_is_read_per_epoch(spark, tmp_path):
     def log(s):
         versions.append(1)
         doc = {"trigger_criteria": [{"source": "S", "conditions": [[{"field": "a", "op": ">=", "value": len(versions)}]]}]}
-        return s.createDataFrame([(1, "r", json.dumps(doc), 1, True, "false", "c")], "seq bigint, rule_id string, rule_json string, version bigint, enabled boolean, deleted string, op string")
+        stateful = {**doc, "condition_tree": {"type": "CONDITION", "expression": {"field": "a", "op": "IN_DATASET", "dataset_id": "d"}}}
+        rows = [(1, "r", json.dumps(doc), 1, True, "false", "c"), (2, "s", json.dumps(stateful), 1, True, "false", "c")]
+        return s.createDataFrame(rows, "seq bigint, rule_id string, rule_json string, version bigint, enabled boolean, deleted string, op string")
 
     shaped = lambda b: b.select(F.get_json_object("payload", "$.seq").cast("bigint").alias("seq"), F.lit("S").alias("source"), "payload")
     for batch in ([{"seq": 1, "a": 1}], [{"seq": 2, "a": 1}, {"seq": 3, "a": 2}]):

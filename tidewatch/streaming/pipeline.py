@@ -16,7 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewatch.operators import profile, report, validate
 from tidewatch.operators.match import events_of, match_rules
-from tidewatch.operators.rules import live_rules, parse_rules
+from tidewatch.operators.rules import live_rules, parse_rules, rule_class
 from tidewatch.operators.schemas import Registry
 from tidewatch.streaming import processors
 from tidewatch.streaming.processors import ROCKSDB, Absence, FirstArrival
@@ -115,12 +115,15 @@ def compact_deltas(spark: SparkSession, folder: str, upto: int, target: str) ->
 
 def rule_matching(
     records: DataFrame, rule_log: Callable[[SparkSession], DataFrame], folder: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, **trigger,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, profile_datasets: set[str] = frozenset(), **trigger,
 ) -> StreamingQuery:
-    """Stateless rule hits to ``folder/hits``; the live catalogue is folded anew for each micro-batch."""
+    """Stateless rule hits to ``folder/hits``; the live catalogue is folded anew for each micro-batch.
+
+    Rules with a sequence, a first arrival, a dataset or a field of ``profile_datasets`` need state and take no part."""
 
     def work(batch: DataFrame, epoch: int) -> None:
-        rules = parse_rules(live_rules(rule_log(batch.sparkSession)))
+        live = parse_rules(live_rules(rule_log(batch.sparkSession)))
+        rules = [r for r in live if rule_class(r, profile_datasets) == "STATELESS"]
         hits = match_rules(events_of(prepare(batch)), rules)
         write_epoch(hits.select("seq", "rule_id"), f"{folder}/hits", epoch)
 
