@@ -113,6 +113,74 @@ def test_a_window_is_filled_with_its_seeds_neighbours():
     assert set(order[:3]) == {0, 2, 4} and set(order[3:]) == {1, 3}
 
 
+def ids_of(text):
+    return np.array([*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0], np.uint32)
+
+
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_neighbours_are_the_best_of_the_whole_corpus(spark, documents, monkeypatch):
+    """Every search over small shards gives what BM25 over all unused documents gives, long ones taken whole."""
+    monkeypatch.setattr(packing, "SHARD_ROWS", 16)
+    rng = random.Random(24)
+    rows = list(enumerate([None, "", *[prose(rng, rng.choice([3, 12, 40, 150])) for _ in range(90)], *["same text"] * 5]))
+    texts = {i: ids_of(t) for i, t in rows}
+    held = {i: np.unique(t, return_counts=True) for i, t in texts.items()}
+    n, mean = len(rows), np.mean([len(t) for t in texts.values()])
+    df = {}
+    for terms, _ in held.values():
+        for t in terms.tolist():
+            df[t] = df.get(t, 0) + 1
+
+    def bm25(seed, item):
+        mine, score = set(held[seed][0].tolist()), 0.0
+        for t, c in zip(*map(np.ndarray.tolist, held[item])):
+            if t in mine and t != packing.END:
+                idf = np.log1p((n - df[t] + 0.5) / (df[t] + 0.5))
+                score += idf * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(texts[item]) / mean))
+        return score
+
+    searches, search, make = [], packing.Corpus.search, packing.Corpus.__init__
+
+    def kept(self, own, *args):
+        make(self, own, *args)
+        self.names = {r.number: r.doc_id for r in own.select("number", "doc_id").collect()}
+
+    def checked(self, seeds, targets, unused):
+        found = search(self, seeds, targets, unused)
+        searches.append(self.near is None)
+        free = [x for x in np.flatnonzero(unused).tolist()]
+        for k, seed in enumerate(seeds.tolist()):
+            own = found[found["asker"] == k]
+            scores = {x: bm25(self.names[seed], self.names[x]) for x in free if x != seed}
+            assert np.allclose(own["score"], [scores[x] for x in own["item"].tolist()], rtol=1e-4)
+            assert (np.diff(own["score"]) <= 0).all()
+            others = [s for x, s in scores.items() if x not in set(own["item"].tolist())]
+            if own["size"].sum() < targets[k]:
+                assert not any(others)
+            elif targets[k]:
+                assert max(others, default=0) <= own["score"][-1] * (1 + 1e-4)
+        return found
+
+    monkeypatch.setattr(packing.Corpus, "__init__", kept)
+    monkeypatch.setattr(packing.Corpus, "search", checked)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pieces = packing.pack(documents(rows), path, public_tokenizers.PATTERN, {"<|endoftext|>": 50256}, window=64).collect()
+    assert True in searches and False in searches
+    ends = {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+        assert p.start == ends.get(p.doc_id, 0)
+        ends[p.doc_id] = p.start + p.length
+        assert p.ids_crc32 == zlib.crc32(texts[p.doc_id][p.start : p.start + p.length].tobytes())
+    assert ends == {i: len(t) for i, t in texts.items()}
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == filled.get(p.sequence_id, 0)
+        filled[p.sequence_id] = p.offset + p.length
+    assert sum(64 - f for f in filled.values()) < 64 and max(filled.values()) <= 64
+
+
 def day(n):
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
 
