@@ -181,6 +181,15 @@ def test_neighbours_are_the_best_of_the_whole_corpus(spark, documents, monkeypat
     assert sum(64 - f for f in filled.values()) < 64 and max(filled.values()) <= 64
 
 
+def test_long_texts_are_matched_by_all_of_their_ids(documents):
+    tail, other = "an river stone " * 30, "some tall building " * 30
+    rows = [(0, "zebra quartz violin " * 40 + tail)] + [(i, "an river stone " * 2) for i in range(1, 9)] + [(9, "zebra quartz violin " * 50 + other)]
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pieces = packing.pack(documents(rows), path, public_tokenizers.PATTERN, window=64).collect()
+    last = {i: [p for p in pieces if p.doc_id == i and p.start == p.doc_tokens // 64 * 64] for i in (0, 9)}
+    assert last[0][0].sequence_id == last[9][0].sequence_id
+
+
 def day(n):
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
 
