@@ -190,6 +190,17 @@ def test_long_texts_are_matched_by_all_of_their_ids(documents):
     assert last[0][0].sequence_id == last[9][0].sequence_id
 
 
+def test_every_id_of_a_seed_counts_and_every_neighbour_comes_first():
+    idf = np.full(60, 5.0)
+    idf[30] = 0.1
+    items = [np.arange(1, 31), np.array([50]), np.array([30])]
+    order = [p[0] for p in packing.fill(items, packing.Index(items, idf, 10.0), 31)]
+    assert order == [0, 2, 1]
+    items = [np.array([1, 2])] + [np.array([9, 9])] * 50 + [np.array([1, 3])] * 100
+    order = [p[0] for p in packing.fill(items, packing.Index(items, idf, 2.0), 202)]
+    assert set(order[:101]) == {0, *range(51, 151)}
+
+
 def day(n):
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
 
