@@ -131,3 +131,16 @@ def test_the_first_round_alone_is_not_trusted(spark, monkeypatch):
 def test_scores_too_large_are_refused(spark):
     with pytest.raises(Exception, match="too large"):
         topk.top_k(vectors(spark, [(0, [3e6]), (1, [1.0])]), F.lit(True)).collect()
+
+
+def test_copies_are_cut_by_id_not_by_row(spark):
+    same, low = [1.0, 0.5], [0.25, 0.25]
+    rows = [(100, same), (100, same)] + [(i, same) for i in range(101, 111)] + [(i, low) for i in range(1, 5)] + [(50, same)] * 12
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q in (50, 100, 110):
+        v = dict(whole)[q]
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:10]
+        expected += [(q, k, i, -s) for k, (s, i) in enumerate(scored, 1)]
+    got = topk.top_k(vectors(spark, rows), F.col("id").isin(50, 100, 110)).collect()
+    assert sorted(map(tuple, got)) == sorted(expected)

@@ -228,8 +228,8 @@ def top_k(
     vectors asks with the smallest one. A component of 2**21 or more in size is an error, as scores would
     not be exact. Fewer candidates than ``k`` give fewer rows.
 
-    1. Of equal vectors only the k + 1 smallest ids can be among a query's best, so the rest leave here, with a
-       limit on the map side.
+    1. Of equal vectors only those of the k + 1 smallest distinct ids, and k rows of each, can be among a query's best,
+       so the rest leave here: rows of one id and vector are counted with map-side combine, ids have a limit on the map side.
     2. Vectors are keyed by nearest pivot and distance, cut into annuli and chunks of bounded size.
     3. Each query reads its nearest annuli until they hold enough vectors, which gives it a k-th best score.
     4. It then reads the annuli, and in them the stretch of distances, that by the triangle inequality can still
@@ -238,7 +238,8 @@ def top_k(
     spark = embeddings.sparkSession
     rows = table(quantised(embeddings, id_column, vector_column), "topk-rows")
     copies = Window.partitionBy("v").orderBy("id")
-    points = rows.select("id", "v").withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= k + 1).drop("_n")
+    held = rows.groupBy("id", "v").agg(F.count("*").alias("_times")).withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= k + 1)
+    points = held.select("id", "v", F.explode(F.sequence(F.lit(1), F.least("_times", F.lit(k)).cast("int")))).drop("col")
     shape = rows.agg(F.max(F.octet_length("v")).alias("w"), F.count("*").alias("n")).first()
     result = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not shape.n:
