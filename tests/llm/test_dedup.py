@@ -79,6 +79,17 @@ def test_one_row_of_each_class_stays(spark, documents):
     assert {by_row[(r.doc_id, r.text)] for r in left} == set(classes)
 
 
+def test_one_text_of_a_class_stays_also_under_one_id(spark, documents):
+    """Near copies under one repeated id, and near copies without ids."""
+    rng = random.Random(23)
+    one, two = prose(rng, 100).split(), prose(rng, 100).split()
+    rows = [(7, " ".join([*one, extra])) for extra in ("x", "y", "z")] + [(None, " ".join([*two, extra])) for extra in ("x", "y")]
+    df = documents(rows)
+    assert sorted(map(repr, [r.doc_id for r in minhash.without_near_duplicates(df).collect()])) == ["7", "None"]
+    kept = [r for r in minhash.near_duplicates(df).collect() if r.kept]
+    assert sorted(map(repr, [r.class_id for r in kept])) == ["7", "None"]
+
+
 def test_no_documents(documents):
     assert minhash.near_duplicates(documents([])).collect() == []
     assert repeats.remove_repeats(documents([])).collect() == []
