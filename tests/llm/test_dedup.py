@@ -90,6 +90,12 @@ def test_one_text_of_a_class_stays_also_under_one_id(spark, documents):
     assert sorted(map(repr, [r.class_id for r in kept])) == ["7", "None"]
 
 
+def test_thresholds_the_bands_are_not_made_for_are_refused(documents):
+    for run in (minhash.near_duplicates, minhash.without_near_duplicates):
+        with pytest.raises(ValueError, match="0.6"):
+            run(documents([(1, "a text")]), 0.6)
+
+
 def test_no_documents(documents):
     assert minhash.near_duplicates(documents([])).collect() == []
     assert repeats.remove_repeats(documents([])).collect() == []
