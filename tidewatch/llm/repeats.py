@@ -339,9 +339,12 @@ def remove_repeats(documents: DataFrame, whole_characters: bool = False) -> Data
     2. Equal phrases, counted with map-side combine, form the dictionary. A phrase whose trigger's context occurs
        once in the corpus is dropped here; one that occurs twice as a whole is repeated throughout.
     3. Only triggers with several different phrases are left. Their phrases are sorted by their bytes before and
-       after the trigger, which gives the corpus order of all their strings; neighbours with enough bytes in common
-       are repeats (:func:`repeated_windows`). A trigger with too many phrases for a task goes window by window.
+       after the trigger, which orders the strings of that trigger; neighbours with enough bytes in common
+       are repeats (:func:`repeated_windows`). A trigger with over ``CROWD`` phrases goes by counts of its windows' hashes.
     4. What is found for a phrase holds for all places of the parse where it stands.
+
+    No suffix array of the dictionary or of the parse is built, and none combine into one order of the corpus: equal
+    strings share a trigger, so the order inside a trigger decides what repeats, and a global one would need one place.
     """
     kept_columns = [c for c in documents.columns if c not in ("n_bytes", "spans", "kept", "marks", "_text", "_key")]
     marked = with_spans(documents.select(*kept_columns)).withColumn("_text", text_of())
