@@ -231,6 +231,13 @@ def test_url_lists_as_of_the_fetch(spark):
     assert {r.verdict for r in url_lists.judge(captures, entries.where("false")).collect()} == {"none"}
 
 
+def test_a_top_level_domain_lists_all_hosts_below_it(spark):
+    entries = spark.createDataFrame([("t", "block", "domain", "zip", "add", day(0))], "list string, verdict string, scope string, pattern string, action string, at timestamp")
+    captures = spark.createDataFrame([(i, u, day(1)) for i, u in enumerate(["http://a.b.zip/x", "http://b.zip", "http://zip/", "http://zip.org", "http://azip"])], "page_id int, url string, fetched_at timestamp")
+    got = {r.page_id: (r.verdict, r.n_active) for r in url_lists.judge(captures, entries).collect()}
+    assert got == {0: ("block", 1), 1: ("block", 1), 2: ("block", 1), 3: ("none", 0), 4: ("none", 0)}
+
+
 @pytest.mark.parametrize("name", ["op8_url_lists_asof", "op10_byte_shards"])
 def test_native_plans(spark, sf_dir, name):
     from tidewatch.llm import queries

@@ -41,13 +41,13 @@ def path_of(url: Column) -> Column:
 
 
 def patterns_of(host: Column, path: Column) -> Column:
-    """Every pattern that could list the address: the host, each domain above it of two labels or more, and each
+    """Every pattern that could list the address: the host, each domain above it down to the last label, and each
     prefix of the path that ends before or at a slash."""
     labels = F.split(host, r"\.")
     steps = F.split(path, "/")
     pattern = lambda scope, text: F.struct(F.lit(scope).alias("scope"), text.alias("pattern"))
     domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: pattern("domain", F.array_join(F.slice(labels, i, F.size(labels)), "."))
+        F.sequence(F.lit(1), F.size(labels)), lambda i: pattern("domain", F.array_join(F.slice(labels, i, F.size(labels)), "."))
     )
     # A path "/a/b" has the steps "", a and b: prefixes host, host/, host/a, host/a/, host/a/b.
     plain = F.transform(
