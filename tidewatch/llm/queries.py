@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import minhash, near_vectors, packing, quality, repeats, topk, toxicity, url_lists
+from tidewatch.llm import anchors, centroids, minhash, near_vectors, packing, prefix_trie, quality, repeats, topk, toxicity, url_lists
 from tidewatch.llm.bpe import encode
 from tidewatch.llm.common import id_bucket, ship_package
 from tidewatch.llm.sharding import shard_by_bytes
@@ -196,6 +196,101 @@ def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+OP11_SQL = f"""
+WITH {CRC}
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS turns,
+    list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT) AS b
+  FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns,
+    xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda a, x: xor(a >> 8, crc_table.t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 9 AS h
+  FROM l, crc_table),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(o.turns[1:h.h], []), h.turns[h.h + 1:]) AS path
+  FROM h LEFT JOIN h o ON o.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, unnest(range(len(path) + 1)) AS d, path FROM r),
+n AS (
+  SELECT path[1:d] AS p, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs,
+    coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (d = len(path)), '') AS ends
+  FROM m GROUP BY path[1:d]),
+k AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+c AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON n.p = k.p),
+u AS (
+  SELECT p[1:d] AS p, count(*) FILTER (n_children = 0) AS n_leaves, coalesce(sum((n_convs - 1) * strlen(p[depth].text)), 0) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM c) GROUP BY 1)
+SELECT c.conv_id, c.depth, q.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM c JOIN u ON c.p = u.p LEFT JOIN n q ON c.depth > 0 AND q.p = c.p[1:c.depth - 1]
+"""
+
+
+@query("op11_zfast_prefix_trie", OP11_SQL)
+def op11_zfast_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = """
+WITH w AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+p AS (SELECT n, unnest(range(1, len(words) - 33)) AS s, words FROM w WHERE len(words) >= 35),
+g AS (SELECT n, s, count(*) OVER (PARTITION BY array_to_string(words[s:s + 34], ' ')) AS c FROM p),
+gone AS (SELECT DISTINCT n, unnest(range(s, s + 35)) AS i FROM g WHERE c > 1),
+cut AS (SELECT n, list(i) AS removed FROM gone GROUP BY n),
+k AS (SELECT w.*, coalesce(removed, []) AS removed FROM w LEFT JOIN cut USING (n))
+SELECT doc_id, len(words)::BIGINT AS n_words, len(removed)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(removed, i)), ' ')) AS kept_sha256
+FROM k
+"""
+
+
+@query("op12_block_anchors", OP12_SQL)
+def op12_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = anchors.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _kmeans_rounds(rounds: int) -> str:
+    """The assignments and floored means of the given number of rounds, and a last assignment."""
+    out = []
+    for n in range(rounds + 1):
+        out.append(f"""
+d{n} AS (
+  SELECT e.n, e.vec_id, e.v, c.k, list_sum(list_transform(list_zip(e.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+  FROM e, c{n} c),
+a{n} AS (SELECT * FROM d{n} QUALIFY row_number() OVER (PARTITION BY n ORDER BY distance, k) = 1)""")
+        if n < rounds:
+            out.append(f"""
+m{n} AS (
+  SELECT k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{n}, range(1, 65) r(i) GROUP BY k, i),
+c{n + 1} AS (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{n} c
+  LEFT JOIN (SELECT k, list((s - (s % n + n) % n) // n ORDER BY i) AS v FROM m{n} GROUP BY k) m ON m.k = c.k)""")
+    return ",".join(out)
+
+
+OP13_SQL = f"""
+WITH e AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v FROM e WHERE vec_id IS NOT NULL
+  QUALIFY k < 16),{_kmeans_rounds(3)}
+SELECT a.vec_id, a.k::INTEGER AS cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia,
+  sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c USING (k)
+"""
+
+
+@query("op13_rotated_centroids", OP13_SQL)
+def op13_rotated_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join("centroid", ",").cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
 # Dated lists over the hosts and addresses of the pages, and a fetch time for each page: the tables have neither,
 # so both follow from a digest of the host and from the page's number.
 OP8_VIEWS = """
