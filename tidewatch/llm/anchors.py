@@ -8,11 +8,12 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.llm.common import drop_table, struct, table
+from tidewatch.llm.common import struct, table
 
 #: Bytes of text that are hashed, and deduplicated before a shuffle, at a time. A longer text is a unit of its own.
 UNIT = 4 << 20
@@ -29,6 +30,8 @@ _RANDOM = np.random.default_rng(20_240_117)
 LETTERS = _RANDOM.integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
 BASES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]
 KEY_BITS = 38
+#: Bytes of a window's hash, with one bit for a flag.
+WINDOW_BYTES = 12
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -138,14 +141,16 @@ def texts_in(rows: pa.RecordBatch | pa.Table, name: str) -> list[bytes]:
 def deal(documents: DataFrame, text_column: str) -> DataFrame:
     """Adds ``_unit``, a number shared by consecutive rows of at most ``UNIT`` bytes of text, and ``_bytes``."""
 
+    most = UNIT
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, left = TaskContext.get().partitionId() << 33, UNIT
+        unit, left = TaskContext.get().partitionId() << 33, most
         for batch in batches:
             units, sizes = [], [len(t) for t in texts_in(batch, text_column)]
             for size in sizes:
                 left -= size
                 if left < 0:
-                    unit, left = unit + 1, UNIT - size
+                    unit, left = unit + 1, most - size
                 units.append(unit)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(units, pa.int64()), pa.array(sizes, pa.int64())], [*batch.schema.names, "_unit", "_bytes"])
@@ -210,29 +215,42 @@ def by_entry(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
     return entries, np.repeat(np.arange(len(packed)), [len(p) // width for p in packed])
 
 
-def replies(rows: pa.Table, wanted: np.ndarray, owner: np.ndarray, values: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """``values`` of the wanted entries (in order of their owners), one answer per row of the table."""
-    units, out = rows.column("unit").to_pylist(), []
-    at = np.flatnonzero(wanted)
+def anchors_in(rows: pa.Table) -> list[tuple[int, int, bytes]]:
+    """The keys of the bucket that are a reference block of some text and stand at two places at least, for the units
+    that hold them: the keys' low bits, five bytes each."""
+    entries, owner = by_entry(rows, 5)
+    key = wide(entries) >> np.uint64(2)
+    _, group, counts = np.unique(key, return_inverse=True, return_counts=True)
+    indexed = np.bincount(group, (entries[:, 0] & 2).astype(np.float64)) > 0
+    several = (counts > 1) | (np.bincount(group, (entries[:, 0] & 1).astype(np.float64)) > 0)
+    at = np.flatnonzero((indexed & several)[group])
+    low = narrow(key[at])
+    bucket, units, out = rows.column("bucket")[0].as_py(), rows.column("unit").to_pylist(), []
     cuts = np.searchsorted(owner[at], np.arange(len(units) + 1))
     for i, unit in enumerate(units):
         if cuts[i] < cuts[i + 1]:
-            out.append((0, unit, np.ascontiguousarray(values[at[cuts[i] : cuts[i + 1]]]).tobytes()))
+            out.append((bucket, unit, low[cuts[i] : cuts[i + 1]].tobytes()))
     return out
 
 
-def anchors_in(rows: pa.Table) -> list[tuple[int, int, bytes]]:
-    """Keys that are a reference block of some text and stand at two places at least, for the units that hold them."""
-    entries, owner = by_entry(rows, 5)
+def wide(entries: np.ndarray) -> np.ndarray:
+    """Rows of five bytes as numbers."""
     value = np.zeros((len(entries), 8), np.uint8)
     value[:, :5] = entries
-    value = value.reshape(-1).view(np.uint64)
-    key = value >> np.uint64(2)
-    _, group, counts = np.unique(key, return_inverse=True, return_counts=True)
-    indexed = np.bincount(group, ((value >> np.uint64(1)) & np.uint64(1)).astype(np.float64)) > 0
-    several = (counts > 1) | (np.bincount(group, (value & np.uint64(1)).astype(np.float64)) > 0)
-    bucket = np.uint64(rows.column("bucket")[0].as_py())
-    return replies(rows, (indexed & several)[group], owner, (bucket << np.uint64(KEY_BITS)) | key)
+    return value.reshape(-1).view(np.uint64)
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def keys_in(answered: pa.Table) -> np.ndarray:
+    """The keys of a unit's anchors, sorted, from the answers of the buckets."""
+    keys = [
+        (np.uint64(bucket) << np.uint64(KEY_BITS)) | wide(np.frombuffer(packed, np.uint8).reshape(-1, 5))
+        for bucket, packed in zip(answered.column("bucket").to_pylist(), answered.column("packed").to_pylist())
+    ]
+    return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
 
 def grouped(both: np.ndarray) -> tuple[np.ndarray, int]:
@@ -246,36 +264,57 @@ def grouped(both: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def repeated_in(rows: pa.Table) -> list[tuple[int, int, bytes]]:
-    """Windows that stand at two places at least, for the units that hold them."""
-    entries, owner = by_entry(rows, 17)
-    both = np.ascontiguousarray(entries[:, :16]).view(np.uint64).reshape(-1, 2)
+    """Which of each unit's windows of the bucket stand at two places at least: a bit for each, in the unit's order."""
+    entries, owner = by_entry(rows, WINDOW_BYTES)
+    value = np.zeros((len(entries), 16), np.uint8)
+    value[:, :WINDOW_BYTES] = entries
+    both = value.view(np.uint64)
+    flag = both[:, 1] & np.uint64(1)
+    both[:, 1] >>= np.uint64(1)
     group, _ = grouped(both)
-    several = (np.bincount(group) > 1) | (np.bincount(group, entries[:, 16].astype(np.float64)) > 0)
-    return replies(rows, several[group], owner, both)
-
-
-def with_answers(units: DataFrame, found: DataFrame, fn: Callable[[pa.Table, bytes], pa.Table], schema: object) -> DataFrame:
-    """``fn`` on each unit's rows and the answers to it."""
+    several = ((np.bincount(group) > 1) | (np.bincount(group, flag.astype(np.float64)) > 0))[group]
+    bucket, cuts = rows.column("bucket")[0].as_py(), np.searchsorted(owner, np.arange(len(rows) + 1))
+    return [
+        (bucket, unit, np.packbits(several[cuts[i] : cuts[i + 1]]).tobytes()) for i, unit in enumerate(rows.column("unit").to_pylist())
+    ]
 
-    def run(rows: pa.Table, answered: pa.Table) -> pa.Table:
-        return fn(rows, b"".join(answered.column("packed").to_pylist()))
 
-    return units.groupBy("_unit").cogroup(found.withColumnRenamed("unit", "_unit").groupBy("_unit")).applyInArrow(run, schema)
+class Candidates:
+    """The windows of a unit that an anchor hit extends to."""
 
-
-def extended(texts: list[bytes], anchors: bytes, window: int, block: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The windows that an anchor hit extends to: where they begin, their two hashes, and the bounds of the texts."""
-    words, bounds = words_of(texts, 2)
-    at, _ = positions(bounds, window)
-    known = np.unique(np.frombuffer(anchors, np.uint64))
-    if not len(known) or not len(at):
-        return at[:0], np.zeros((0, 2), np.uint64), bounds
-    keys = keys_of(gram_hashes(words[0], block, 0), buckets)
-    hits = np.zeros(len(keys) + 1, np.int64)
-    np.cumsum(known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys, out=hits[1:])
-    # A window's blocks begin at its first word to its last but block - 1; all of them lie in its text.
-    at = at[hits[at + window - block + 1] > hits[at]]
-    return at, np.stack([gram_hashes(words[k], window, k)[at] for k in (0, 1)], axis=1), bounds
+    def __init__(self, texts: list[bytes], anchors: np.ndarray, window: int, block: int, buckets: int) -> None:
+        words, self.bounds = words_of(texts, 2 if len(anchors) else 1)
+        self.at, _ = positions(self.bounds, window)
+        if not len(anchors) or not len(self.at):
+            self.at = self.at[:0]
+            return
+        keys = keys_of(gram_hashes(words[0], block, 0), buckets)
+        hits = np.zeros(len(keys) + 1, np.int64)
+        np.cumsum(anchors[np.minimum(np.searchsorted(anchors, keys), len(anchors) - 1)] == keys, out=hits[1:])
+        # A window's blocks begin at its first word to its last but block - 1; all of them lie in its text.
+        self.at = self.at[hits[self.at + window - block + 1] > hits[self.at]]
+        both = np.stack([gram_hashes(words[k], window, k)[self.at] for k in (0, 1)], axis=1)
+        both[:, 1] &= np.uint64((1 << (8 * WINDOW_BYTES - 65)) - 1)
+        self.group, n = grouped(both)
+        self.distinct = np.empty((n, 2), np.uint64)
+        self.distinct[self.group] = both
+        self.bucket = bucket_of(self.distinct[:, 0], buckets)
+
+    def packed(self) -> np.ndarray:
+        """The distinct windows in order: their hash, and a bit for those that the unit holds more than once."""
+        value = self.distinct.copy()
+        value[:, 1] = (value[:, 1] << np.uint64(1)) | (np.bincount(self.group, minlength=len(value)) > 1).astype(np.uint64)
+        return value.view(np.uint8).reshape(-1, 16)[:, :WINDOW_BYTES]
+
+    def repeated(self, bits: dict[int, bytes]) -> np.ndarray:
+        """Where the windows begin for which their bucket has set a bit."""
+        if not len(self.at):
+            return self.at
+        marks = np.zeros(len(self.distinct), bool)
+        for bucket, packed in bits.items():
+            own = slice(*np.searchsorted(self.bucket, [np.uint64(bucket), np.uint64(bucket + 1)]))
+            marks[own] = np.unpackbits(np.frombuffer(packed, np.uint8), count=own.stop - own.start).astype(bool)
+        return self.at[marks[self.group]]
 
 
 def remove_repeats(documents: DataFrame, text_column: str = "text", window: int = 35, block: int = 18) -> DataFrame:
@@ -298,7 +337,8 @@ def remove_repeats(documents: DataFrame, text_column: str = "text", window: int
 
     Texts are dealt into units; a unit sends each distinct hash once to its bucket, and buckets, about ``BUCKET`` bytes
     of text each at every size, answer the units. So a passage in a third of all rows reaches its bucket once per
-    unit. Windows are told apart by 128 bits of hash, blocks by fewer, as a false anchor changes nothing.
+    unit. Windows are told apart by their bucket and 95 bits of hash, blocks by
+    fewer, as a false anchor changes nothing.
     """
     if not 1 <= block <= (window + 1) // 2:
         raise ValueError("a window must hold a whole block wherever it begins: window >= 2 * block - 1")
@@ -306,38 +346,28 @@ def remove_repeats(documents: DataFrame, text_column: str = "text", window: int
     if clashes:
         raise ValueError(f"columns of these names would be lost: {sorted(clashes)}")
     spark = documents.sparkSession
-    units = table(deal(documents, text_column), "anchor-units")
+    units = table(deal(documents, text_column), "anchor-units", "zstd")
     size = units.agg(F.sum("_bytes")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
 
-    def candidates(rows: pa.Table, anchors: bytes) -> pa.Table:
-        at, both, _ = extended(texts_in(rows, text_column), anchors, window, block, buckets)
-        if not len(at):
-            return pa.Table.from_batches([packed_rows([])])
-        group, n = grouped(both)
-        distinct = np.empty((n, 2), np.uint64)
-        distinct[group] = both
-        packed = np.concatenate([distinct.view(np.uint8).reshape(-1, 16), (np.bincount(group) > 1).astype(np.uint8)[:, None]], axis=1)
-        found = per_bucket(rows.column("_unit")[0].as_py(), bucket_of(distinct[:, 0], buckets), packed)
-        return pa.Table.from_batches([packed_rows(list(found))])
+    def candidates(rows: pa.Table, answered: pa.Table) -> pa.Table:
+        found = Candidates(texts_in(rows, text_column), keys_in(answered), window, block, buckets)
+        spread = per_bucket(rows.column("_unit")[0].as_py(), found.bucket, found.packed()) if len(found.at) else []
+        return pa.Table.from_batches([packed_rows(list(spread))])
 
     added = struct("n_words bigint, n_removed bigint, kept string, spans array<struct<start:bigint,end:bigint>>")
     schema = StructType([*documents.schema, *added])
 
-    def cut(rows: pa.Table, both: bytes) -> pa.Table:
+    def cut(rows: pa.Table, answered: pa.Table) -> pa.Table:
         texts = texts_in(rows, text_column)
-        words, bounds = words_of(texts, 2 if both else 1)
+        of_windows = answered.column("windows")
+        bits = answered.filter(of_windows)
+        found = Candidates(texts, keys_in(answered.filter(pc.invert(of_windows))), window, block, buckets)
+        at = found.repeated(dict(zip(bits.column("bucket").to_pylist(), bits.column("packed").to_pylist())))
+        bounds = found.bounds
         change = np.zeros(bounds[-1] + 1, np.int64)
-        if both:
-            at, _ = positions(bounds, window)
-            known = np.frombuffer(both, np.uint64).reshape(-1, 2)
-            mine = np.stack([gram_hashes(words[k], window, k)[at] for k in (0, 1)], axis=1)
-            group, n = grouped(np.concatenate([known, mine]))
-            repeated = np.zeros(n, bool)
-            repeated[group[: len(known)]] = True
-            at = at[repeated[group[len(known) :]]]
-            change[at] += 1
-            change[at + window] -= 1
+        change[at] += 1
+        change[at + window] -= 1
         gone = np.cumsum(change[:-1]) > 0
         removed = np.concatenate([[0], np.cumsum(gone)])
         n_words, n_removed = np.diff(bounds), removed[bounds[1:]] - removed[bounds[:-1]]
@@ -354,10 +384,11 @@ def remove_repeats(documents: DataFrame, text_column: str = "text", window: int
             out = out.append_column(name, values)
         return out
 
-    thin = units.select("_unit", text_column)
+    def with_answers(rows: DataFrame, found: DataFrame, fn: Callable, result: StructType | str) -> DataFrame:
+        return rows.groupBy("_unit").cogroup(found.withColumnRenamed("unit", "_unit").groupBy("_unit")).applyInArrow(fn, result)
+
     found = table(answers(probes(units, text_column, block, buckets), anchors_in), "anchor-blocks")
-    spread = table(with_answers(thin, found, candidates, PACKED), "anchor-windows")
+    spread = with_answers(units.select("_unit", text_column), found, candidates, PACKED)
     twice = table(answers(spread, repeated_in), "anchor-repeats")
-    drop_table(found)
-    drop_table(spread)
-    return with_answers(units.drop("_bytes"), twice, cut, schema)
+    both = found.withColumn("windows", F.lit(False)).unionByName(twice.withColumn("windows", F.lit(True)))
+    return with_answers(units.drop("_bytes"), both, cut, schema)

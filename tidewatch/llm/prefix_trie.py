@@ -253,18 +253,20 @@ def id_digests(ends: DataFrame) -> DataFrame:
     one task per node takes the chunks one after the other.
     """
 
+    most = CHUNK
+
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, first, ids, size = None, 0, [], 0
         out: list[tuple] = []
         for batch in batches:
             for *at, c in zip(*(batch.column(n).to_pylist() for n in [*NODE, "c"])):
-                if at != node or size >= CHUNK:
+                if at != node or size >= most:
                     if ids:
                         out.append((*node, first, ",".join(ids)))
                     node, first, ids, size = at, c, [], 0
                 ids.append(str(c))
                 size += len(ids[-1]) + 1
-            if sum(len(r[-1]) for r in out) >= CHUNK:
+            if sum(len(r[-1]) for r in out) >= most:
                 yield chunks(out)
                 out = []
         if ids:
