@@ -41,12 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: what follows neither recomputes it nor depends
-    on an executor that held part of it."""
+    on an executor that held part of it. ``codec`` names a Parquet compression other than the session's."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     # Spark removes a finished query's shuffle files once the JVM has found that nothing refers to them.
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
