@@ -40,3 +40,10 @@ def arithmetic(expression: str, operand: Callable[[str], str]) -> str:
         raise ValueError(f"not a linear expression: {expression!r}")
 
     return build(ast.parse(expression.strip(), mode="eval"))
+
+
+def operands(expression: str) -> list[str]:
+    """The fields an expression reads, in order."""
+    found: list[str] = []
+    arithmetic(expression, lambda name: found.append(name) or name)
+    return list(dict.fromkeys(found))

@@ -14,6 +14,7 @@ from tidewatch.functions.keys import normalize_key
 from tidewatch.functions.values import field, is_object_text, number
 from tidewatch.operators.predicates import dnf, leaf, quoted, tree
 from tidewatch.operators.scans import with_once
+from tidewatch.operators.shared import Unit, match_units
 
 
 def events_of(df: DataFrame, version: str = "v1") -> DataFrame:
@@ -182,42 +183,55 @@ def trigger_of(rule: dict, leaf_of) -> str:
     return f"coalesce({' OR '.join(tests)}, false)" if tests else "false"
 
 
-def partition_key(rule: dict, fields: FieldColumns) -> Column:
-    """The value of the trigger's key field for the event's source, normalised when it is a phone."""
+def key_fields(rule: dict) -> tuple[tuple[str, str], ...]:
+    """The trigger's key field for each source."""
+    return tuple((t["source"], t["key_field"]) for t in rule.get("trigger_criteria", []) if t.get("key_field"))
+
+
+def key_value(by_source: tuple[tuple[str, str], ...], fields: FieldColumns) -> Column:
     whens = []
-    for t in rule.get("trigger_criteria", []):
-        if t.get("key_field"):
-            raw = F.col(fields.text(t["key_field"]))
-            whens.append(F.when(F.col("source") == t["source"], F.coalesce(normalize_key(raw), raw)))
+    for source, name in by_source:
+        raw = F.col(fields.text(name))
+        whens.append(F.when(F.col("source") == source, F.coalesce(normalize_key(raw), raw)))
     return F.coalesce(*whens) if whens else F.lit(None).cast("string")
 
 
+def partition_key(rule: dict, fields: FieldColumns) -> Column:
+    """The value of the trigger's key field for the event's source, normalised when it is a phone."""
+    return key_value(key_fields(rule), fields)
+
+
+def required(node: dict | None) -> tuple[list[dict], list[dict]]:
+    """A condition tree as a conjunction: the leaves it demands, and the nodes it demands beside them."""
+    if not node:
+        return [], []
+    kind = node["type"].upper()
+    if kind == "CONDITION":
+        return [node["expression"]], []
+    children = node.get("children", [])
+    if kind == "AND" or kind == "OR" and len(children) == 1:
+        parts = [required(child) for child in children]
+        return [e for leaves, _ in parts for e in leaves], [n for _, nodes in parts for n in nodes]
+    return [], [node]
+
+
+def units_of(rule: dict, body: dict | None, fields: FieldColumns, name: str) -> list[Unit]:
+    """One unit per group of the rule's trigger, each with the tree ``body``."""
+    leaves, nodes = required(body)
+    tests = [tree(node, lambda e: leaf(e, fields)) for node in nodes]
+    return [
+        Unit(name, route, [*group, *leaves], tests)
+        for route, groups in trigger_groups(rule).items()
+        for group in (groups if all(groups) else [[]])
+    ]
+
+
 def match_rules(events: DataFrame, rules: list[dict], trigger_only: bool = False) -> DataFrame:
     """(event columns, rule_id) for each stateless rule an event satisfies: source and version route,
     trigger, condition tree. One pass over the events, no join and no shuffle.
 
-    Rules are grouped by trigger source, so an event evaluates only its own source's rules.
+    The rules of a source share their conditions: see :mod:`~tidewatch.operators.shared`.
     """
     fields = FieldColumns(rules)
-    leaf_of = lambda e: leaf(e, fields)
-    by_route = defaultdict(list)
-    for rule in rules:
-        body = "true" if trigger_only else tree(rule.get("condition_tree"), leaf_of)
-        for route, groups in trigger_groups(rule).items():
-            by_route[route].append(f"CASE WHEN {dnf(groups, leaf_of)} AND {body} THEN {quoted(rule['rule_id'])} END")
-    tested = F.coalesce(
-        *[F.when(F.expr(route_test(route)), F.expr(f"array({', '.join(tests)})")) for route, tests in by_route.items()],
-        F.array().cast("array<string>"),
-    )
-    extracted = fields.extract(events)
-    # A large rule set does not fit the one method whole-stage code generation makes. A lambda in the
-    # same projection keeps that projection out of it, and Spark then compiles the tests in pieces.
-    # Reading the result twice keeps the two projections apart; inside a lambda function's argument
-    # the tests would be interpreted.
-    matched = extracted.select(
-        *events.columns, tested.alias("_tested"), F.exists(F.array("source"), lambda s: s.isNotNull()).alias("_routed")
-    )
-    any_hit = F.col("_routed") & F.exists("_tested", lambda r: r.isNotNull())
-    hits = F.when(any_hit, F.array_compact("_tested"))
-    # explode_outer: a plain explode would add a filter that evaluates every rule a second time.
-    return matched.select(*events.columns, F.explode_outer(hits).alias("rule_id")).where("rule_id is not null")
+    units = [u for r in rules for u in units_of(r, None if trigger_only else r.get("condition_tree"), fields, r["rule_id"])]
+    return match_units(events, units, fields, "rule_id").select(*events.columns, "rule_id")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from typing import Callable, Protocol
 
-from tidewatch.functions.arithmetic import arithmetic
+from tidewatch.functions.arithmetic import arithmetic, operands
 
 WHOLE = r"^[+-]?[0-9]{1,38}$"
 ISO_TIME = re.compile(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}")
@@ -166,6 +166,13 @@ def tree(node: dict | None, leaf_of: Callable[[dict], str]) -> str:
     raise ValueError(f"a {kind} node is not a boolean condition")
 
 
+def names_of(expression: dict) -> list[str]:
+    """The fields that a condition reads, also those inside its expressions."""
+    plain = [expression.get("field"), expression.get("right_field"), *(expression.get("fields") or []), *(expression.get("key_fields") or [])]
+    inside = [n for k in ("expr", "right_expr") if expression.get(k) for n in operands(expression[k])]
+    return [n for n in [*plain, *inside] if n]
+
+
 def leaves(rule: dict) -> list[dict]:
     """All condition expressions of a rule: trigger conditions first, then the tree."""
     found = [c for t in rule.get("trigger_criteria", []) for g in t.get("conditions") or [] for c in g]

@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.values import text
-from tidewatch.operators.predicates import leaves
+from tidewatch.operators.predicates import leaves, names_of
 from tidewatch.operators.scans import CHUNK_ROWS, prior_max
 
 CONDITION = (
@@ -121,17 +121,22 @@ def parse_rules(rules: DataFrame) -> list[dict]:
     return parsed
 
 
-def rule_classes(rules: DataFrame, datasets: list[str]) -> DataFrame:
-    """CEP, STATEFUL or STATELESS per rule (``rule_id``, ``rule_json``), by its condition tree.
+def rule_classes(rules: DataFrame, datasets: list[str], triggers: bool = False) -> DataFrame:
+    """CEP, STATEFUL or STATELESS per rule (``rule_id``, ``rule_json``), by its condition tree, with ``triggers``
+    also by its trigger conditions, which is what decides where a rule can be evaluated.
 
-    Read off the tree's canonical JSON text, where keys and marks stand in one fixed form. A dotted
-    field makes a rule stateful only when its first part names a dataset.
+    Read off their canonical JSON text, where keys and marks stand in one fixed form. A dotted field makes a rule
+    stateful only when its first part names a dataset, be it a field of its own or inside an expression.
     """
-    shape = F.to_json(F.try_variant_get(F.try_parse_json("rule_json"), "$.condition_tree", "variant"))
+    doc = F.try_parse_json("rule_json")
+    part = lambda name: F.coalesce(F.to_json(F.try_variant_get(doc, f"$.{name}", "variant")), F.lit(""))
+    shape = F.concat(part("trigger_criteria"), part("condition_tree")) if triggers else part("condition_tree")
     of_dataset = F.lit(False)
     if datasets:
         names = "|".join(re.escape(d) for d in datasets)
-        of_dataset = shape.rlike(rf'"(field|right_field)":"({names})\.')
+        of_dataset = shape.rlike(
+            rf'"(field|right_field)":"({names})\.|"(fields|key_fields)":\[[^\]]*"({names})\.|"(expr|right_expr)":"([^"]*[^\w."])?({names})\.'
+        )
     kind = (
         F.when(shape.contains('"type":"SEQUENCE"') | shape.rlike('(?i)"op":"IS_FIRST_ARRIVAL"'), "CEP")
         .when(shape.rlike('(?i)"op":"IN_DATASET"') | of_dataset, "STATEFUL")
@@ -140,14 +145,13 @@ def rule_classes(rules: DataFrame, datasets: list[str]) -> DataFrame:
     return rules.select("rule_id", kind.alias("rule_class"))
 
 
-def rule_class(rule: dict, datasets: set[str] = frozenset()) -> str:
+def rule_class(rule: dict, datasets: set[str] = frozenset(), triggers: bool = False) -> str:
     """As :func:`rule_classes`, for a rule already on the driver."""
-    node = rule.get("condition_tree")
-    expressions = leaves({"condition_tree": node})
+    expressions = leaves(rule if triggers else {"condition_tree": rule.get("condition_tree")})
     ops = {(e.get("op") or "").upper() for e in expressions}
-    if _has_sequence(node) or "IS_FIRST_ARRIVAL" in ops:
+    if _has_sequence(rule.get("condition_tree")) or "IS_FIRST_ARRIVAL" in ops:
         return "CEP"
-    names = [n for e in expressions for n in (e.get("field"), e.get("right_field")) if n]
+    names = [n for e in expressions for n in names_of(e)]
     if "IN_DATASET" in ops or any("." in n and n.split(".")[0] in datasets for n in names):
         return "STATEFUL"
     return "STATELESS"

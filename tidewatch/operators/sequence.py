@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 import tempfile
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,15 +26,18 @@ def first_arrival(events: DataFrame, keys: list[str], order: Column) -> DataFram
 
 
 def first_arrival_ttl(
-    events: DataFrame, keys: list[str], time: str, tie: str, ttl: int, cold_rows: int = COLD_ROWS,
+    events: DataFrame, keys: list[str], time: str, tie: str, ttl: int | str, cold_rows: int = COLD_ROWS,
 ) -> DataFrame:
     """Events that open a new period of their key: the first one, then each first one at least
     ``ttl`` microseconds after the last accepted. ``tie`` orders events of one instant.
+    ``ttl`` may name a column that is the same for all events of a key.
 
     Whether an event is accepted depends on the one accepted before it. Keys with at most
     ``cold_rows`` distinct instants are folded in one aggregate each; that bound is what makes
     gathering them safe. The others take :func:`_accepted_of_hot`, which never does.
     """
+    if isinstance(ttl, str):
+        keys = [*keys, ttl]
     # Of several events at one instant only the first can be accepted.
     instants = (
         events.dropna(subset=[*keys, time])
@@ -47,46 +49,48 @@ def first_arrival_ttl(
     instants = instants.checkpoint()
     sizes = instants.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_t").alias("_from"), F.max("_t").alias("_to"))
     hot = sizes.where(F.col("_n") > cold_rows)
-    span = hot.agg(F.max(F.col("_to") - F.col("_from"))).first()[0]
+    length = F.col(ttl) if isinstance(ttl, str) else F.lit(ttl)
+    periods = hot.agg(F.max((F.col("_to") - F.col("_from")) / length)).first()[0]
 
     def fold(rows: DataFrame) -> DataFrame:
         history = F.array_sort(F.collect_list(F.struct("_t", "_tie")))
         empty = F.array().cast("array<struct<_t:bigint,_tie:bigint>>")
         step = lambda acc, e: F.when(
-            (F.size(acc) == 0) | (e["_t"] >= F.element_at(acc, -1)["_t"] + ttl), F.array_append(acc, e)
+            (F.size(acc) == 0) | (e["_t"] >= F.element_at(acc, -1)["_t"] + length), F.array_append(acc, e)
         ).otherwise(acc)
         kept = rows.groupBy(*keys).agg(history.alias("_h"))
         return kept.select(*keys, F.inline(F.aggregate("_h", empty, step)))
 
     rows = instants
-    if span is None:
+    if periods is None:
         accepted = fold(rows)
     else:
         hot_keys = hot.select(*keys)
         cold = rows.join(hot_keys, keys, "left_anti")
-        accepted = fold(cold).unionByName(_accepted_of_hot(rows.join(hot_keys, keys, "left_semi"), keys, ttl, span))
+        accepted = fold(cold).unionByName(_accepted_of_hot(rows.join(hot_keys, keys, "left_semi"), keys, ttl, periods))
     marks = accepted.select(*keys, F.col("_t").alias(time), F.col("_tie").alias(tie))
     return events.join(marks, [*keys, time, tie], "left_semi")
 
 
-def _accepted_of_hot(rows: DataFrame, keys: list[str], ttl: int, span: int) -> DataFrame:
+def _accepted_of_hot(rows: DataFrame, keys: list[str], ttl: int | str, periods: float) -> DataFrame:
     """Accepted instants of keys too large to gather.
 
     Every instant points at the one that would be accepted after it (an as-of join, cut along
     time). The accepted ones are those reached from the key's first instant. With pointers
-    doubled each round, a chain of n needs log2(n) rounds, and n is at most span / ttl.
+    doubled each round, a chain of n needs log2(n) rounds, and n is at most the number of ``periods``.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    slot = max(1, min(ttl // 16, SLOT))
-    asks = rows.withColumn("_due", F.col("_t") + F.lit(ttl))
+    named = isinstance(ttl, str)
+    slot = SLOT if named else max(1, min(ttl // 16, SLOT))
+    asks = rows.withColumn("_due", F.col("_t") + (F.col(ttl) if named else F.lit(ttl)))
     pointers = asof(
         asks, rows, keys, "_due", "_t", F.struct("_t", "_tie"), "_next", slot, forward=True, tie=F.col("_tie")
     ).select(*keys, "_t", "_tie", F.col("_next._t").alias("_nt"), F.col("_next._tie").alias("_ntie")).checkpoint()
 
     first = rows.groupBy(*keys).agg(F.min(F.struct("_t", "_tie")).alias("_f"))
     reached = first.select(*keys, "_f._t", "_f._tie")
-    rounds = max(1, math.ceil(math.log2(span / ttl + 2)))
+    rounds = max(1, math.ceil(math.log2(periods + 2)))
     for i in range(rounds):
         ahead = reached.join(pointers.select(*keys, "_t", "_nt", "_ntie"), [*keys, "_t"])
         ahead = ahead.where("_nt is not null").select(*keys, F.col("_nt").alias("_t"), F.col("_ntie").alias("_tie"))
@@ -121,19 +125,17 @@ def shared_dir(spark) -> str:
 def cooldown(hits: DataFrame, seconds: dict[str, int], time: str, tie: str, cold_rows: int = COLD_ROWS) -> DataFrame:
     """Hits (``rule_id``, ``partition_key``) without those that fall inside the silence after an emitted
     hit of the same rule and key. ``seconds`` is the silence per rule; without one every hit stays,
-    as does a hit without a key. Rules of equal silence share one pass.
+    as does a hit without a key. One ordered pass serves all rules, whatever their silence.
     """
-    by_length = defaultdict(list)
-    for rule_id, length in seconds.items():
-        if length:
-            by_length[length].append(rule_id)
-    silenced = [r for ids in by_length.values() for r in ids]
-    out = hits.where(~F.col("rule_id").isin(silenced) | F.col("partition_key").isNull()) if silenced else hits
-    for length, ids in by_length.items():
-        same = hits.where(F.col("rule_id").isin(ids) & F.col("partition_key").isNotNull())
-        kept = first_arrival_ttl(same, ["rule_id", "partition_key"], time, tie, length * 1_000_000, cold_rows)
-        out = out.unionByName(kept)
-    return out
+    lengths = {rule_id: length for rule_id, length in seconds.items() if length}
+    if not lengths:
+        return hits
+    silence = F.create_map(*[x for rule_id, length in lengths.items() for x in (F.lit(rule_id), F.lit(length * 1_000_000).cast("bigint"))])
+    keyed = hits.withColumn("_silence", F.try_element_at(silence, F.col("rule_id")))
+    bound = F.col("_silence").isNotNull() & F.col("partition_key").isNotNull()
+    ids = keyed.where(bound).select("rule_id", "partition_key", time, tie, "_silence")
+    kept = first_arrival_ttl(ids, ["rule_id", "partition_key"], time, tie, "_silence", cold_rows).select("rule_id", tie)
+    return keyed.where(~bound).unionByName(keyed.where(bound).join(kept, ["rule_id", tie], "left_semi")).select(*hits.columns)
 
 
 def _first_answer(

@@ -96,6 +96,12 @@ def rule_class_query(spark, sf_dir):
     return rule_classes(fx.view(spark, sf_dir, RULE_DOCS), ["sub_profile"])
 
 
+@query("rule_class_routing", """SELECT 'R' || cast(p_partkey AS string) AS rule_id, CASE WHEN p_partkey % 4 = 0 OR (p_partkey % 4 = 1 AND p_partkey % 3 = 0) THEN 'CEP'
+  WHEN p_partkey % 5 <> 0 OR p_partkey % 4 = 1 OR (p_partkey % 4 = 2 AND p_partkey % 3 = 0) THEN 'STATEFUL' ELSE 'STATELESS' END AS rule_class FROM part""")
+def rule_class_routing(spark, sf_dir):
+    return rule_classes(fx.view(spark, sf_dir, RULE_DOCS), ["sub_profile"], triggers=True)
+
+
 @query("union_sources", """SELECT o_orderkey AS id, 'order' AS origin, o_orderstatus AS status, cast(NULL AS string) AS event_type FROM orders
 UNION ALL SELECT event_id, 'event', NULL, event_type FROM events""")
 def union_sources(spark, sf_dir):

@@ -123,7 +123,7 @@ def rule_matching(
 
     def work(batch: DataFrame, epoch: int) -> None:
         live = parse_rules(live_rules(rule_log(batch.sparkSession)))
-        rules = [r for r in live if rule_class(r, profile_datasets) == "STATELESS"]
+        rules = [r for r in live if rule_class(r, profile_datasets, triggers=True) == "STATELESS"]
         hits = match_rules(events_of(prepare(batch)), rules)
         write_epoch(hits.select("seq", "rule_id"), f"{folder}/hits", epoch)
 
