@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.values import epoch_micros
 from tidewatch.plans import fixtures as fx
-from tidewatch.plans.matching import MATCH_SQL, TREE_RULES
-from tidewatch.plans.profiles import FOLD, SAME_VALUE, same_value
-from tidewatch.plans.registry import ctes, query
-from tidewatch.plans.sequences import SIX_HOURS
-from tidewatch.plans.validation import STREAM_CHECK, as_of, batch_registry, batch_sql, stream_registry
-from tidewatch.streaming import pipeline
+from tidewatch.operators.match import FieldColumns, events_of, match_rules, partition_key
+from tidewatch.operators.profile import PROFILE_TTL_MS
+from tidewatch.plans.matching import AMOUNT, MATCH_SQL, TREE_RULES, cond, rule, text_sql
+from tidewatch.plans.profiles import EVENT_KEYS, FOLD, SAME_VALUE, same_value
+from tidewatch.plans.registry import ctes, events_sql, phone_sql, query
+from tidewatch.plans.sequences import SIX_HOURS, greedy_sql
+from tidewatch.plans.validation import STREAM_CHECK, as_of, batch_registry, batch_sql, stream_registry, valid_batch
+from tidewatch.streaming import ordered, pipeline
 from tidewatch.streaming.folders import new_folder
 
 
@@ -83,3 +85,104 @@ def stream_profile_live(spark, sf_dir):
     registry = batch_registry(spark)
     finish(pipeline.batch_validation(stream_table(spark, sf_dir, "customer"), lambda _: registry, folder, as_of(), view_of("customer", fx.BATCH)))
     return pipeline.live_profile(spark, folder).select("key_value", "dataset_name", "field", same_value())
+
+
+# ------------------------------------------------ state in event-time order
+
+#: Rows whose slot the last watermark has passed, one minute behind the newest row.
+_PASSED = "(t // 1000000 + 1) * 1000 <= (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM events)"
+
+
+def to_table(spark, rows: DataFrame, name: str) -> DataFrame:
+    """Runs a query to the end of its input; the rows of its sink."""
+    folder = new_folder(spark, name)
+    running = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    finish(running.trigger(availableNow=True).start())
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
+
+
+def clicks(spark, sf_dir: str) -> DataFrame:
+    events = stream_table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("session_id"), "event_type", epoch_micros(F.col("ts")).alias("t"))
+    return ordered.with_clock(events, "t")
+
+
+@query("stream_first_arrival_ttl_live", f"""SELECT event_id, session_id FROM ({greedy_sql("SELECT *, epoch_us(ts) AS t FROM fx_clicks", ["session_id"], SIX_HOURS, "event_id, session_id, t", ("fx_clicks",))}) a WHERE {_PASSED}""")
+def stream_first_arrival_ttl_live(spark, sf_dir):
+    found = to_table(spark, ordered.periods(clicks(spark, sf_dir), ["session_id"], "event_id", SIX_HOURS), "periods")
+    return found.where("NOT late").select("event_id", "session_id")
+
+
+CALM = [
+    rule("calm_day", "CPM", [[cond("amount", ">", 30)]], cooldown_seconds=86_400),
+    rule("calm_hours", "CPM", [[cond("status", "==", "SUCCESS")]], cooldown_seconds=7_200),
+]
+
+
+def _calm_sql(rule_id: str, test: str, seconds: int) -> str:
+    key = f"coalesce({phone_sql(text_sql('msisdn'))}, {text_sql('msisdn')})"
+    rows = f"SELECT seq, epoch_us(ts) AS t, {key} AS k, j FROM (SELECT *, payload AS j FROM fx_stream WHERE source = 'CPM' AND json_valid(payload) AND json_type(payload) = 'OBJECT') x WHERE {test}"
+    walked = greedy_sql(f"SELECT * FROM ({rows}) y WHERE k IS NOT NULL", ["k"], seconds * 1_000_000, f"seq, t, '{rule_id}' AS rule_id", ("fx_stream",), "seq")
+    return f"SELECT seq, rule_id FROM ({walked}) z WHERE (t // 1000000 + 1) * 1000 <= (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM parsed)"
+
+
+@query("stream_cooldown_live", ctes("fx_stream", parsed="SELECT * FROM fx_stream WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'")
+    + _calm_sql("calm_day", f"{AMOUNT} > 30", 86_400) + " UNION ALL " + _calm_sql("calm_hours", f"{text_sql('status')} = 'SUCCESS'", 7_200))
+def stream_cooldown_live(spark, sf_dir):
+    """Hits of two rules after their own silences, all in one stateful operator."""
+    raw = stream_view(spark, sf_dir, "events", fx.STREAM)
+    events = ordered.with_clock(events_of(raw).withColumn("t", epoch_micros(F.col("ts"))), "t")
+    fields = FieldColumns(CALM)
+    key = partition_key(CALM[0], fields)
+    hits = fields.extract(match_rules(events, CALM)).withColumn("partition_key", key)
+    silence = F.create_map(*[F.lit(x) for r in CALM for x in (r["rule_id"], r["cooldown_seconds"] * 1_000_000)])[F.col("rule_id")]
+    kept = ordered.periods(hits.withColumn("silence", silence), ["rule_id", "partition_key"], "seq", "silence")
+    return to_table(spark, kept, "cooldown").where("NOT late").select("seq", "rule_id")
+
+
+def stream_view(spark, sf_dir: str, name: str, sql: str) -> DataFrame:
+    """A fixture view over a given table as a stream."""
+    stream_table(spark, sf_dir, name).createOrReplaceTempView(f"tidewatch_stream_{name}")
+    return spark.sql(sql.replace(f"FROM {name}", f"FROM tidewatch_stream_{name}"))
+
+
+_ANSWER_TIME = f"(SELECT min(b.t) FROM c b WHERE b.event_type = 'purchase' AND b.user_id = a0.user_id AND b.t BETWEEN a0.t + 1 AND a0.t + {SIX_HOURS})"
+_LIVE_CLICKS = "WITH c AS (SELECT event_id, user_id, event_type, epoch_us(ts) AS t FROM events), a AS (SELECT *, " + _ANSWER_TIME + " AS second_us FROM c a0 WHERE event_type = 'view')\n"
+
+
+def _live_sequence(spark, sf_dir, followed: bool) -> DataFrame:
+    rows = ordered.sequences(clicks(spark, sf_dir), ["session_id"], "event_id", F.col("event_type") == "view", F.col("event_type") == "purchase", 0, SIX_HOURS, followed)
+    return to_table(spark, rows, "sequence").where("NOT late")
+
+
+@query("stream_followed_by_live", _LIVE_CLICKS + f"SELECT event_id, user_id AS session_id, second_us FROM (SELECT *, second_us AS t FROM (SELECT event_id, user_id, second_us FROM a) y) x WHERE second_us IS NOT NULL AND {_PASSED}")
+def stream_followed_by_live(spark, sf_dir):
+    return _live_sequence(spark, sf_dir, True).select("event_id", "session_id", F.col("second_time").alias("second_us"))
+
+
+@query("stream_not_followed_by_live", _LIVE_CLICKS + f"SELECT event_id, session_id FROM (SELECT event_id, user_id AS session_id, t + {SIX_HOURS} AS t FROM a WHERE second_us IS NULL) x WHERE {_PASSED}")
+def stream_not_followed_by_live(spark, sf_dir):
+    return _live_sequence(spark, sf_dir, False).select("event_id", "session_id")
+
+
+_AS_OF = """(SELECT max(struct_pack(m := o.snapshot_ms, n := o.seq, a := {what})) FROM ok o
+  WHERE o.key_value = e.key_value AND o.snapshot_ms * 1000 <= e.t AND {test})"""
+_WRITE = _AS_OF.format(what="json_extract_string(o.j, '$.data.sub_code')", test="o.dataset_name = 'active_promo' AND o.sync_mode <> 'DELETE' AND json_extract_string(o.j, '$.data.sub_code') IS NOT NULL")
+_RESET = _AS_OF.format(what="'x'", test="o.dataset_name = 'active_promo' AND o.sync_mode <> 'UPSERT'")
+_LAST = _AS_OF.format(what="'x'", test="true")
+
+
+@query("stream_profile_lookup_live", batch_sql(f"""SELECT event_id, l.n AS last_write,
+    CASE WHEN (r IS NULL OR w.m > r.m OR (w.m = r.m AND w.n >= r.n)) AND t - w.m * 1000 < {PROFILE_TTL_MS * 1000} THEN w.a END AS sub_code
+  FROM (SELECT e.*, {_WRITE} AS w, {_RESET} AS r, {_LAST} AS l FROM (SELECT *, epoch_us(ts) AS t FROM ev) e) x WHERE {_PASSED}""", ev=EVENT_KEYS))
+def stream_profile_lookup_live(spark, sf_dir):
+    """Profile writes and events as two streams in one keyed operator."""
+    events = stream_view(spark, sf_dir, "events", EVENT_KEYS).select("key_value", epoch_micros(F.col("ts")).alias("t"), "event_id")
+    valid = valid_batch(spark, sf_dir).select("seq", "key_value", "snapshot_ms", "sync_mode", "dataset_name", "data")
+    folder = new_folder(spark, "writes")
+    valid.select(
+        "key_value", (F.col("snapshot_ms") * 1000).alias("t"), F.col("seq").alias("event_id"), F.col("sync_mode").alias("mode"),
+        F.col("dataset_name").alias("dataset"), F.from_json(F.to_json("data"), "map<string,string>").alias("fields"),
+    ).write.parquet(f"{folder}/in")
+    writes = spark.readStream.schema("key_value string, t bigint, event_id bigint, mode string, dataset string, fields map<string,string>").parquet(f"{folder}/in")
+    found = to_table(spark, ordered.profile_lookup(events, writes, "key_value", "event_id", ["active_promo.sub_code"], PROFILE_TTL_MS), "lookup")
+    return found.where("NOT late").select("event_id", "last_write", F.col("found")["active_promo.sub_code"].alias("sub_code"))
