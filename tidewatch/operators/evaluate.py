@@ -178,7 +178,7 @@ class RuleTerms:
             # An answer comes later than its event, or an event both sides accept would answer itself.
             lasts = f"'least', {max(least, 1)}L, 'most', {most}L"
             firsts.append(self.question(s, [k["left_field"] for k in n["join_keys"]], lasts))
-            asked = self.question(s, [k["right_field"] for k in n["join_keys"]], "'mask', _mask")
+            asked = self.question(s, [k["right_field"] for k in n["join_keys"]], f"{lasts}, 'mask', _mask")
             for tests, mask in self.seconds[s]:
                 seconds.append(f"CASE WHEN {' AND '.join(tests) or 'true'} THEN {asked.replace('_mask', f'{mask}L')} END")
         for s, e in self.arrivals.items():
@@ -206,7 +206,7 @@ class RuleTerms:
 
 ASKS = "array<struct<no:int,scope:string,key:array<string>>>"
 FIRSTS = "array<struct<slot:int,key:array<string>,least:bigint,most:bigint>>"
-SECONDS = "array<struct<slot:int,key:array<string>,mask:bigint>>"
+SECONDS = "array<struct<slot:int,key:array<string>,least:bigint,most:bigint,mask:bigint>>"
 ARRIVALS = "array<struct<slot:int,key:array<string>,ttl:bigint>>"
 
 
@@ -249,6 +249,36 @@ def _holds(mask: Column, bits: Column) -> Column:
     return mask.bitwiseAND(F.bitwise_not(bits)) == 0
 
 
+class FirstPass:
+    """The rows (event, rule) that the payload lets pass, with ``partition_key``, what a stateful rule asks for, and
+    ``_bits``, the answers so far. A null ``terms`` is that of a rule without state, which this pass has decided."""
+
+    def __init__(self, events: DataFrame, rules: list[dict], profile_datasets: set[str]):
+        wanted = dict.fromkeys(n for r in rules for e in leaves(r) for n in names_of(e) if "." in n and n.split(".")[0] in profile_datasets)
+        self.numbers = {name: i for i, name in enumerate(wanted)}
+        self.fields = FieldColumns(rules, {name: f"_p{i}" for name, i in self.numbers.items()})
+        compiled = [RuleTerms(r, self.fields, profile_datasets) for r in rules]
+        self.stateful = [r for r in compiled if r.slots]
+        key_of: dict[tuple, list[str]] = {}
+        for r in rules:
+            key_of.setdefault(key_fields(r), []).append(r["rule_id"])
+        keys = [F.when(F.col("rule_id").isin(ids), key_value(k, self.fields)) for k, ids in key_of.items()]
+        details = {r.rule["rule_id"]: r.details(self.numbers) for r in self.stateful}
+        self.profile_bits = {r.rule["rule_id"]: r.profile_bits() for r in self.stateful if r.profiles}
+        rows = match_units(events, [u for r in compiled for u in r.units()], self.fields, "rule_id")
+        self.rows = rows.withColumn("partition_key", F.coalesce(*keys) if keys else F.lit(None).cast("string"))
+        if self.stateful:
+            asked = self.rows.withColumn("_d", F.expr(_case(details, "NULL"))).select("*", "_d.*").drop("_d")
+            self.rows = asked.withColumn("_bits", F.lit(0).cast("bigint"))
+
+    def member_bits(self, matched: Column) -> Column:
+        """The membership slots that hold, from those whose value is in its dataset: negated ones that are known to be
+        outside."""
+        negated = {r.rule["rule_id"]: f"{sum(1 << s for s, e in r.members.items() if e.get('negate'))}L" for r in self.stateful if r.members}
+        no = F.expr(_case(negated, "0L"))
+        return matched.bitwiseAND(F.bitwise_not(no)).bitwiseOR(F.coalesce("known", F.lit(0).cast("bigint")).bitwiseAND(F.bitwise_not(matched)))
+
+
 def hits_of(
     events: DataFrame, rules: list[dict], time: str, tie: str, datasets: DataFrame | None = None,
     profile: DataFrame | None = None, profile_datasets: set[str] = frozenset(), cold_rows: int = sequence.COLD_ROWS,
@@ -261,28 +291,13 @@ def hits_of(
     pass the rule's trigger as well. A first arrival sees the events for which the rest of its term holds, so
     below an AND those that pass the other conditions, below an OR those that pass what encloses the OR.
     """
-    wanted = dict.fromkeys(n for r in rules for e in leaves(r) for n in names_of(e) if "." in n and n.split(".")[0] in profile_datasets)
-    numbers = {name: i for i, name in enumerate(wanted)}
-    fields = FieldColumns(rules, {name: f"_p{i}" for name, i in numbers.items()})
-    compiled = [RuleTerms(r, fields, set(profile_datasets)) for r in rules]
-    stateful = [r for r in compiled if r.slots]
-    key_of: dict[tuple, list[str]] = {}
-    for r in rules:
-        key_of.setdefault(key_fields(r), []).append(r["rule_id"])
-    key_columns = {k: key_value(k, fields) for k in key_of}
-    details = {r.rule["rule_id"]: r.details(numbers) for r in stateful}
-    profile_bits = {r.rule["rule_id"]: r.profile_bits() for r in stateful if r.profiles}
-    rows = match_units(events, [u for r in compiled for u in r.units()], fields, "rule_id")
-    keys = [F.when(F.col("rule_id").isin(ids), key_columns[k]) for k, ids in key_of.items()]
-    rows = rows.withColumn("partition_key", F.coalesce(*keys) if keys else F.lit(None).cast("string"))
+    first = FirstPass(events, rules, set(profile_datasets))
+    stateful, rows = first.stateful, first.rows
     out = [*events.columns, "partition_key", "rule_id"]
     if not stateful:
         return rows.select(*out)
-
-    rows = rows.withColumn("_d", F.expr(_case(details, "NULL"))).select("*", "_d.*").drop("_d").withColumn("_bits", F.lit(0).cast("bigint"))
     if any(r.members or r.profiles for r in stateful):
-        rows = _looked_up(rows, stateful, look_ups(stateful, datasets, profile, numbers), fields, numbers, profile_bits, tie)
-    # A null condition is a stateless rule's, which the first pass has decided.
+        rows = _looked_up(first, look_ups(stateful, datasets, profile, first.numbers), tie)
     term = lambda test: F.exists("terms", test)
     if any(r.sequences or r.arrivals for r in stateful):
         # What is left is read several times, by everything that needs order.
@@ -302,27 +317,22 @@ def _order_bits(rules: list[RuleTerms]) -> Column:
     return F.expr(_case(by_rule, "0L"))
 
 
-def _looked_up(
-    rows: DataFrame, rules: list[RuleTerms], table: DataFrame, fields: FieldColumns, numbers: dict[str, int], profile_bits: dict[str, str], tie: str,
-) -> DataFrame:
+def _looked_up(first: FirstPass, table: DataFrame, tie: str) -> DataFrame:
     """``_bits`` with the answers of all datasets and the profile, by one join on (scope, key)."""
     # A row that asks nothing keeps one line, which can't match and which its own number spreads.
     nothing = F.array(F.struct(F.lit(None).cast("int").alias("no"), F.lit(None).cast("string").alias("scope"), F.array(F.col(tie).cast("string")).alias("key")))
-    asks = rows.withColumn("_ask", F.explode(F.when(F.size("asks") > 0, F.col("asks")).otherwise(nothing))).drop("asks")
+    asks = first.rows.withColumn("_ask", F.explode(F.when(F.size("asks") > 0, F.col("asks")).otherwise(nothing))).drop("asks")
     asks = asks.select("*", "_ask.no", "_ask.scope", "_ask.key").drop("_ask")
     found = asks.join(table, ["scope", "key"], "left")
     kept = [c for c in asks.columns if c not in ("no", "scope", "key", tie, "rule_id")]
     answer = F.when(F.col("value").isNotNull(), F.struct("no", "value"))
     one = found.groupBy(tie, "rule_id").agg(*[F.first(c).alias(c) for c in kept], F.collect_set(answer).alias("_found"))
-    one = one.withColumns({f"_p{i}": F.expr(f"get(filter(_found, a -> a.no = {i}), 0).value") for i in numbers.values()})
-    one = fields.extract_profile(one)
-    at = len(numbers)
-    members = F.aggregate("_found", F.lit(0).cast("bigint"), lambda bits, a: F.when(
+    one = one.withColumns({f"_p{i}": F.expr(f"get(filter(_found, a -> a.no = {i}), 0).value") for i in first.numbers.values()})
+    one = first.fields.extract_profile(one)
+    at = len(first.numbers)
+    matched = F.aggregate("_found", F.lit(0).cast("bigint"), lambda bits, a: F.when(
         a["no"] >= at, bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), a["no"] - at))).otherwise(bits))
-    negated = {r.rule["rule_id"]: f"{sum(1 << s for s, e in r.members.items() if e.get('negate'))}L" for r in rules if r.members}
-    no = F.expr(_case(negated, "0L"))
-    inside = members.bitwiseAND(F.bitwise_not(no)).bitwiseOR(F.col("known").bitwiseAND(F.bitwise_not(members)))
-    return one.withColumn("_bits", F.coalesce(inside.bitwiseOR(F.expr(_case(profile_bits, "0L"))), F.lit(0).cast("bigint")))
+    return one.withColumn("_bits", first.member_bits(matched).bitwiseOR(F.expr(_case(first.profile_bits, "0L"))))
 
 
 def _with_bits(rows: DataFrame, marks: DataFrame, tie: str) -> DataFrame:

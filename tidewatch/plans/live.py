@@ -9,11 +9,13 @@ from tidewatch.plans import fixtures as fx
 from tidewatch.operators.match import FieldColumns, events_of, match_rules, partition_key
 from tidewatch.operators.profile import PROFILE_TTL_MS
 from tidewatch.plans.matching import AMOUNT, MATCH_SQL, TREE_RULES, cond, rule, text_sql
+from tidewatch.plans.one_pass import MIXED_LISTS, _VIEWS, answered, mixed_catalogue
 from tidewatch.plans.profiles import EVENT_KEYS, FOLD, SAME_VALUE, same_value
 from tidewatch.plans.registry import ctes, events_sql, phone_sql, query
 from tidewatch.plans.sequences import SIX_HOURS, greedy_sql
 from tidewatch.plans.validation import STREAM_CHECK, as_of, batch_registry, batch_sql, stream_registry, valid_batch
 from tidewatch.streaming import ordered, pipeline
+from tidewatch.streaming.rules import rule_stream
 from tidewatch.streaming.folders import new_folder
 
 
@@ -186,3 +188,36 @@ def stream_profile_lookup_live(spark, sf_dir):
     writes = spark.readStream.schema("key_value string, t bigint, event_id bigint, mode string, dataset string, fields map<string,string>").parquet(f"{folder}/in")
     found = to_table(spark, ordered.profile_lookup(events, writes, "key_value", "event_id", ["active_promo.sub_code"], PROFILE_TTL_MS), "lookup")
     return found.where("NOT late").select("event_id", "last_write", F.col("found")["active_promo.sub_code"].alias("sub_code"))
+
+
+# ------------------------------------------------ a catalogue of every kind of rule on one stream
+
+
+def _live_catalogue_sql() -> str:
+    passed = "(t // 1000000 + 1) * 1000 <= (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM parsed)"
+    status, session = text_sql("status"), text_sql("device_session_id")
+    parts = []
+    for k in range(4):
+        parts.append(events_sql(f"SELECT seq, 'plain{k}' AS rule_id FROM e WHERE source = 'CPM' AND {AMOUNT} > {20 + 10 * k} AND {status} = 'SUCCESS'"))
+        of, listed = (session, "sessions") if k % 2 else (text_sql("data.request.billCode"), "bills")
+        parts.append(events_sql(f"SELECT seq, 'list{k}' AS rule_id FROM e WHERE source = 'CDCN' AND {AMOUNT} > {k} AND {of} IS NOT NULL AND ({of} IN (SELECT v1 FROM l WHERE dataset_id = '{listed}')) = {'false' if k > 1 else 'true'}", l=MIXED_LISTS))
+        rows = f"SELECT seq, epoch_us(ts) AS t, {session} AS k, j FROM (SELECT *, payload AS j FROM fx_stream WHERE source = 'TDH' AND json_valid(payload) AND json_type(payload) = 'OBJECT') x WHERE {AMOUNT} > {5 * k} AND {status} = 'SUCCESS'"
+        walked = greedy_sql(f"SELECT * FROM ({rows}) y WHERE k IS NOT NULL", ["k"], (k + 1) * 86_400_000_000, "seq, t", ("fx_stream",), "seq")
+        parts.append(f"SELECT seq, 'first{k}' AS rule_id FROM ({walked}) z WHERE {passed}")
+        second = answered(30 * (k + 1), "b.amount > 5").replace("EXISTS (SELECT 1", "(SELECT min(b.t)")
+        asked = f"SELECT seq, t AS t0, {second} AS answer FROM v a WHERE kind = 'view' AND sid IS NOT NULL AND amount > {10 * k}"
+        due = "t0 + " + str(30 * (k + 1) * 60_000_000)
+        parts.append(events_sql(f"SELECT seq, 'seq{k}' AS rule_id FROM (SELECT seq, {'answer' if k % 2 else due} AS t, answer FROM q) z WHERE answer IS {'NOT ' if k % 2 else ''}NULL AND {passed}", v=_VIEWS, q=asked, parsed="SELECT * FROM e"))
+    return ctes("fx_stream", parsed="SELECT * FROM fx_stream WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'") + " UNION ALL ".join(
+        f"SELECT seq, rule_id FROM ({p}) x{i}" for i, p in enumerate(parts))
+
+
+@query("stream_catalogue_live", _live_catalogue_sql())
+def stream_catalogue_live(spark, sf_dir):
+    """Stateless rules, memberships, first arrivals and sequences, each kind in one operator for all its rules."""
+    rules = [r for r in mixed_catalogue() if not r["rule_id"].startswith("calm")]
+    lists = fx.view(spark, sf_dir, MIXED_LISTS).select("dataset_id", "dataset_version", F.array("v1").alias("tuple"))
+    events = events_of(stream_view(spark, sf_dir, "events", fx.STREAM)).withColumn("t", epoch_micros(F.col("ts")))
+    folder = new_folder(spark, "catalogue")
+    finish(rule_stream(events, rules, folder, "t", "seq", lists))
+    return spark.read.parquet(f"{folder}/hits").select("seq", "rule_id")
