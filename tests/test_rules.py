@@ -265,3 +265,20 @@ def test_two_first_arrivals_of_one_term_are_refused(spark):
 def test_matching_is_one_pass(spark):
     plan = match_rules(events(spark, [{"code": "a", "n": 2}]), [rule("a", [[c("code", "==", "a")]]), rule("n", [[c("n", ">", 1)]], tree=None)])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_arithmetic_is_exact_for_whole_numbers(spark):
+    big = 2**53
+    x = lambda left, op, **more: {"expr": left, "op": op, **more}
+    cases = [
+        (x("n - m", "==", value=0), {"n": big + 1, "m": big}, False), (x("n - m", "==", value=0), {"n": str(big), "m": big}, True),
+        (x("n - m", "BETWEEN", value=[1, 1]), {"n": big + 1, "m": big}, True), (x("n * n", "==", value=(big + 1) ** 2), {"n": big + 1}, True),
+        (x("a % 2", "==", value=1.5), {"a": 3.5}, False), (x("a % 2", "==", value=1), {"a": 3}, True), (x("a % 2 * 0.5", "==", value=0.5), {"a": 3}, True),
+        (x("a / 2 % 2", ">=", value=0), {"a": 4}, False), (x("a % b", "==", value=0), {"a": 4, "b": 0}, False), (x("a / b", ">", value=0), {"a": 4, "b": 0}, False),
+        (x("a + b", "==", value=0.75), {"a": 0.5, "b": 0.25}, True), (x("a", "IN", value=[1, big + 1]), {"a": big + 1}, True), (x("a", "NOT IN", value=[1, big]), {"a": big + 1}, True),
+        (x("-a", "<", right_expr="b - 1"), {"a": 5, "b": 1}, True), (x("a + 1", "==", right_field="b"), {"a": big, "b": big + 1}, True), (x("a + 1", ">", value=0), {"a": "x"}, False),
+        (x("n * n * n", ">", value=0), {"n": 10**18}, True),
+    ]
+    rules = [rule(f"p{i:02d}", [[e]]) for i, (e, _, _) in enumerate(cases)]
+    got = {(r.seq, r.rule_id) for r in match_rules(events(spark, [p for _, p, _ in cases]), rules).collect()}
+    assert [(i, (i, f"p{i:02d}") in got) for i in range(len(cases))] == [(i, want) for i, (_, _, want) in enumerate(cases)]

@@ -42,6 +42,14 @@ def test_cluster_topics(spark):
     assert {r.cluster_name: r.topics for r in records.cluster_topics(clusters, topics).collect()} == {"c1": ["a", "b"], "c2": []}
 
 
+def test_clusters_keep_their_security(spark):
+    clusters = spark.createDataFrame([(1, "s", "c1", "h:1", True, " SASL_SSL ", "", None), (2, "s", "c2", "h:2", True, None, "PLAIN", "x y;")],
+        "id int, stream_id string, cluster_name string, bootstrap_servers string, enabled boolean, security_protocol string, sasl_mechanism string, sasl_jaas_config string")
+    topics = spark.createDataFrame([(1, " a ", True)], "cluster_config_id int, topic_name string, enabled boolean")
+    found = {r.cluster_name: (r.topics, r.properties) for r in records.cluster_topics(clusters, topics).collect()}
+    assert found == {"c1": (["a"], {"kafka.security.protocol": "SASL_SSL"}), "c2": ([], {"kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": "x y;"})}
+
+
 def test_stream_validation_restarts_from_its_checkpoint(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     good, bad = {"msisdn": "0981234567", "transAmount": 1}, {"msisdn": "0981234567"}

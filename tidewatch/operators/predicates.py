@@ -10,9 +10,8 @@ from __future__ import annotations
 import re
 from typing import Callable, Protocol
 
-from tidewatch.functions.arithmetic import arithmetic, operands
+from tidewatch.functions.arithmetic import WHOLE, Typed, compared, operands, typed
 
-WHOLE = r"^[+-]?[0-9]{1,38}$"
 ISO_TIME = re.compile(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}")
 # Below it every whole number has a double of its own, and no other whole number shares it: comparing doubles
 # is exact for such a literal, whatever the event holds.
@@ -94,18 +93,23 @@ def leaf(expression: dict, fields: Fields) -> str:
     """One comparison: ``field``/``expr`` (with ``function`` LENGTH), ``op``, and
     ``value``/``right_field``/``right_expr``."""
     op = expression["op"].upper()
-    numeric = True
     if expression.get("expr"):
-        left = numbers = arithmetic(expression["expr"], fields.number)
-    else:
+        return _of_expression(op, typed(expression["expr"], fields.text, fields.number), expression, fields)
+    if expression.get("right_expr"):
+        function = (expression.get("function") or "").upper()
         name = expression.get("field") or expression["fields"][0]
-        left = fields.text(name)
-        if (expression.get("function") or "").upper() == "LENGTH":
-            left = numbers = f"cast(length({left}) AS double)"
-        elif op in ("IS_NULL", "IS_NOT_NULL"):
-            numeric, numbers = False, left
-        else:
-            numeric, numbers = False, fields.number(name) if _reads_number(expression) else left
+        own = Typed(f"try_cast({fields.text(name)} AS decimal(38,0))", fields.number(name), frozenset([fields.text(name)]))
+        if function == "LENGTH":
+            own = Typed(f"cast(length({fields.text(name)}) AS decimal(38,0))", f"cast(length({fields.text(name)}) AS double)")
+        return _of_expression(op, own, expression, fields)
+    numeric = False
+    name = expression.get("field") or expression["fields"][0]
+    left = numbers = fields.text(name)
+    if (expression.get("function") or "").upper() == "LENGTH":
+        numeric, left = True, f"cast(length({left}) AS double)"
+        numbers = left
+    elif op not in ("IS_NULL", "IS_NOT_NULL") and _reads_number(expression):
+        numbers = fields.number(name)
     value = expression.get("value")
 
     if op == "IS_NULL":
@@ -123,8 +127,6 @@ def leaf(expression: dict, fields: Fields) -> str:
         return _sure(f"NOT {test}" if op.startswith("NOT_") else test)
     if op not in COMPARE:
         raise ValueError(f"unknown operator {expression['op']!r}")
-    if expression.get("right_expr"):
-        return _sure(f"{numbers} {COMPARE[op]} {arithmetic(expression['right_expr'], fields.number)}")
     if expression.get("right_field"):
         other = expression["right_field"]
         if numeric:
@@ -134,9 +136,39 @@ def leaf(expression: dict, fields: Fields) -> str:
     return _sure(_compare_literal(op, left, value, numbers))
 
 
+def _of_expression(op: str, left: Typed, expression: dict, fields: Fields) -> str:
+    """A condition with an expression on the left, or on the right side of a field. Literals are numbers, or texts of
+    numbers."""
+    if op in ("IS_NULL", "IS_NOT_NULL"):
+        return f"(({left.double}) {'IS NULL' if op == 'IS_NULL' else 'IS NOT NULL'})"
+
+    def literal(value) -> Typed:
+        number = value if isinstance(value, (int, float)) and not isinstance(value, bool) else _as_number(str(value))
+        whole = isinstance(number, int) and abs(number) < 10**38
+        return Typed(f"cast({number}BD AS decimal(38,0))" if whole else None, _double(number))
+
+    value = expression.get("value")
+    if op in ("IN", "NOT IN", "NOT_IN"):
+        inside = " OR ".join(f"({compared(left, '=', literal(v))})" for v in value)
+        return _sure(f"({inside})" if op == "IN" else f"NOT ({inside})")
+    if op == "BETWEEN":
+        low, high = value
+        return _sure(f"(({compared(left, '>=', literal(low))}) AND ({compared(left, '<=', literal(high))}))")
+    if op not in COMPARE:
+        raise ValueError(f"{expression['op']!r} does not compare numbers")
+    if expression.get("right_expr"):
+        right = typed(expression["right_expr"], fields.text, fields.number)
+    elif expression.get("right_field"):
+        name = expression["right_field"]
+        right = Typed(f"try_cast({fields.text(name)} AS decimal(38,0))", fields.number(name), frozenset([fields.text(name)]))
+    else:
+        right = literal(value)
+    return _sure(compared(left, COMPARE[op], right))
+
+
 def _reads_number(expression: dict) -> bool:
     """Whether a field condition compares numbers (or may: another field decides at run time)."""
-    if expression.get("right_field") or expression.get("right_expr"):
+    if expression.get("right_field"):
         return True
     value = expression.get("value")
     literals = value if isinstance(value, list) else [value]

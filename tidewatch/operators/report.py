@@ -68,3 +68,31 @@ def map_output(hits: DataFrame, layouts: dict[str, dict[str, str]], default: dic
 
     whens = [F.when(F.col("rule_id") == rule, record(layout)) for rule, layout in layouts.items()]
     return hits.withColumn("value", F.coalesce(*whens, record(default)))
+
+
+def map_output_by_table(hits: DataFrame, layouts: DataFrame, columns: list[str], payload: str = "payload") -> DataFrame:
+    """Hits in the layout that a table gives their rule: ``output`` maps targets to values, ``value`` is that as JSON.
+
+    ``layouts``: ``rule_id`` (``*`` for rules without rows of their own), ``target``, ``source``. A source is
+    ``event.<path>`` (a field of the payload, null when missing), ``hit.<column>`` (one of ``columns``), or ``=`` and a
+    constant. Targets without a value are left out. A changed table needs no new plan: the layouts of a rule travel as
+    one row, joined by rule, and are read per hit.
+    """
+    entry = F.struct("target", "source")
+    per_rule = layouts.groupBy("rule_id").agg(F.sort_array(F.collect_list(entry)).alias("_layout"))
+    other = per_rule.where("rule_id = '*'").select(F.col("rule_id").alias("_any"), F.col("_layout").alias("_default"))
+    held = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
+
+    def value(source: Column) -> Column:
+        name = F.regexp_replace(source, r"^(event|hit)\.|^=", "")
+        return (
+            F.when(source.startswith("event."), F.call_function("get_json_object", F.col(payload), F.concat(F.lit("$."), name)))
+            .when(source.startswith("hit."), F.try_element_at(held, name))
+            .when(source.startswith("="), name)
+        )
+
+    joined = hits.join(per_rule, "rule_id", "left").withColumn("_any", F.lit("*")).join(other, "_any", "left")
+    entries = F.transform(F.coalesce("_layout", "_default"), lambda e: F.struct(e["target"].alias("key"), value(e["source"]).alias("value")))
+    output = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    mapped = joined.withColumn("output", output).withColumn("value", F.to_json("output"))
+    return mapped.select(*hits.columns, "output", "value")

@@ -23,7 +23,19 @@ SELECT stream_id, cluster_name, bootstrap_servers, coalesce(string_agg(DISTINCT
 FROM c LEFT JOIN t ON t.cluster_config_id = c.id AND t.enabled WHERE c.enabled GROUP BY ALL""")
 def source_map(spark, sf_dir):
     found = cluster_topics(fx.view(spark, sf_dir, CLUSTERS), fx.view(spark, sf_dir, TOPICS))
-    return found.withColumn("topics", F.array_join("topics", ","))
+    return found.drop("properties").withColumn("topics", F.array_join("topics", ","))
+
+
+# The same clusters with security columns, some of them blank.
+SECURED = f"SELECT *, CASE WHEN id % 2 = 0 THEN ' SASL_SSL ' ELSE '' END AS security_protocol, CASE WHEN id % 3 = 0 THEN 'GSSAPI' END AS sasl_mechanism FROM ({CLUSTERS}) x"
+
+
+@query("source_map_security", f"""SELECT stream_id, cluster_name, CASE WHEN id % 2 = 0 THEN 'SASL_SSL' END AS protocol, CASE WHEN id % 3 = 0 THEN 'GSSAPI' END AS mechanism
+FROM ({CLUSTERS}) c WHERE enabled""")
+def source_map_security(spark, sf_dir):
+    found = cluster_topics(fx.view(spark, sf_dir, SECURED), fx.view(spark, sf_dir, TOPICS))
+    option = lambda name: F.try_element_at("properties", F.lit(f"kafka.{name}"))
+    return found.select("stream_id", "cluster_name", option("security.protocol").alias("protocol"), option("sasl.mechanism").alias("mechanism"))
 
 
 # A rule change log over the orders: one customer is one rule, each order a change to it.
@@ -160,6 +172,16 @@ def load_datasets_rows(spark, sf_dir):
     return rows.select("dataset_id", "dataset_version", F.col("tuple")[0].alias("a"), F.col("tuple")[1].alias("b"))
 
 
+@query("in_dataset_arity_mixed", """SELECT event_id FROM events WHERE user_id % 2 = 0""")
+def in_dataset_arity_mixed(spark, sf_dir):
+    """One dataset of single values and of pairs: single values are members by the former alone."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("user"))
+    ids = fx.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("u"), (F.col("user_id") % 2 == 0).alias("single"))
+    tuples = F.when(F.col("single"), F.array("u")).otherwise(F.array("u", F.lit("x")))
+    mixed = ids.select(F.lit("mixed").alias("dataset_id"), F.lit("v1").alias("dataset_version"), tuples.alias("tuple"))
+    return in_dataset(events, [F.col("user")], mixed, "mixed").select("event_id")
+
+
 @query("in_dataset_arity", """SELECT event_id FROM events WHERE false""")
 def in_dataset_arity(spark, sf_dir):
     """Members of a set of pairs among single values: none, as tuples match by their length."""

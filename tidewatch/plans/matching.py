@@ -260,3 +260,42 @@ def output_mapping(spark, sf_dir):
     layouts = {"big_purchase": {"layout": "'T1'", "a": "event_id", "b": "session"}}
     out = report.map_output(hits, layouts, {"layout": "'default'", "a": "cast(seq as string)"})
     return out.select("seq", F.from_json("value", "layout string, a string, b string").alias("o")).select("seq", "o.*")
+
+
+# Whole numbers one apart above 2**53, which doubles can't tell apart, and a fraction.
+TYPED_PAYLOADS = """SELECT event_id AS seq, ts, 'NUM' AS source, '{"n":' || cast(9007199254740992 + event_id % 3 AS string) || ',"m":9007199254740992,"q":"'
+  || cast(event_id % 11 AS string) || '","f":' || cast(cast(value AS decimal(18,2)) AS string) || '}' AS payload FROM events"""
+_X = lambda rule_id, left, op, **more: rule(rule_id, "NUM", [], {"type": "CONDITION", "expression": {"expr": left, "op": op, **more}})
+TYPED_RULES = [
+    _X("equal", "n - m", "==", value=0), _X("odd", "n % 2", "==", value=1), _X("no_fraction_mod", "f % 2", ">=", value=0), _X("text_mod", "q % 3", "IN", value=[1, 2]),
+    _X("double_of_both", "2 * n", ">", right_expr="2 * m + 2"), _X("between", "n - m", "BETWEEN", value=[1, 2]), _X("large", "n + n + n", "==", value=27021597764222977 - 1),
+    _X("half", "q / 2", ">", value=3), _X("mixed", "q % 4 * 0.5 + f", ">", value=60), rule("field_left", "NUM", [[cond("n", ">", right_expr="m + 1")]]),
+]
+_V = "cast(value AS decimal(18,2))::DOUBLE"
+
+
+@query("pred_expr_typed", f"""WITH v AS (SELECT event_id AS seq, event_id % 3 AS r, event_id % 11 AS q, {_V} AS f FROM events)
+SELECT seq, 'equal' AS rule_id FROM v WHERE r = 0 UNION ALL SELECT seq, 'odd' FROM v WHERE r = 1 UNION ALL SELECT seq, 'no_fraction_mod' FROM v WHERE f = floor(f) AND f % 2 >= 0
+UNION ALL SELECT seq, 'text_mod' FROM v WHERE q % 3 IN (1, 2) UNION ALL SELECT seq, 'double_of_both' FROM v WHERE 2 * r > 2 UNION ALL SELECT seq, 'between' FROM v WHERE r IN (1, 2)
+UNION ALL SELECT seq, 'large' FROM v WHERE 3 * (9007199254740992::HUGEINT + r) = 27021597764222976 UNION ALL SELECT seq, 'half' FROM v WHERE q / 2 > 3
+UNION ALL SELECT seq, 'mixed' FROM v WHERE q % 4 * 0.5::DOUBLE + f > 60 UNION ALL SELECT seq, 'field_left' FROM v WHERE r > 1""")
+def pred_expr_typed(spark, sf_dir):
+    events = events_of(fx.view(spark, sf_dir, TYPED_PAYLOADS))
+    return match_rules(events, TYPED_RULES).select("seq", "rule_id")
+
+
+# Layouts as rows: one rule has its own, the others share the default.
+LAYOUTS = """SELECT 'big_purchase' AS rule_id, 'layout' AS target, '=T1' AS source UNION ALL SELECT 'big_purchase', 'bill', 'event.data.request.billCode'
+UNION ALL SELECT 'big_purchase', 'key', 'hit.partition_key' UNION ALL SELECT '*', 'layout', '=default' UNION ALL SELECT '*', 'rule', 'hit.rule_id' UNION ALL SELECT '*', 'bill', 'event.eventId'"""
+
+
+@query("output_mapping_table", events_sql(f"""SELECT seq, 'T1' AS layout, {text_sql('data.request.billCode')} AS bill, coalesce({phone_sql(text_sql('msisdn'))}, {text_sql('msisdn')}) AS key, NULL AS rule
+  FROM e WHERE source = 'CPM' AND {AMOUNT} >= 40.13 AND {text_sql('status')} = 'SUCCESS'
+UNION ALL SELECT seq, 'default', {text_sql('eventId')}, NULL, 'no_tree' FROM e WHERE source = 'EVT' AND {text_sql('eventType')} = 'view' AND {AMOUNT} BETWEEN 10 AND 20"""))
+def output_mapping_table(spark, sf_dir):
+    rules = [TREE_RULES[0], TREE_RULES[2]]
+    fields = FieldColumns(rules)
+    key = partition_key(rules[0], fields)
+    hits = fields.extract(match_rules(stream_events(spark, sf_dir), rules)).withColumn("partition_key", key)
+    out = report.map_output_by_table(hits.select("seq", "rule_id", "payload", "partition_key"), fx.view(spark, sf_dir, LAYOUTS), ["rule_id", "partition_key"])
+    return out.select("seq", *[F.try_element_at("output", F.lit(c)).alias(c) for c in ("layout", "bill", "key", "rule")])

@@ -59,13 +59,21 @@ def read_pattern(spark: SparkSession, servers: str, pattern: str, streaming: boo
 
 def cluster_topics(clusters: DataFrame, topics: DataFrame) -> DataFrame:
     """Topics per stream and cluster from the two configuration tables: enabled clusters with their
-    enabled topics; a cluster without topics keeps an empty list."""
-    enabled = topics.where("enabled").select(F.col("cluster_config_id").alias("id"), "topic_name")
+    enabled topics; a cluster without topics keeps an empty list.
+
+    ``properties`` holds the reader options that the cluster's columns ``security_*`` and ``sasl_*`` set, such as
+    ``kafka.security.protocol``; blank and null ones set none."""
+    secured = sorted(c for c in clusters.columns if c.startswith(("security_", "sasl_")))
+    named = F.array(*[F.struct(F.lit("kafka." + c.replace("_", ".")).alias("key"), F.trim(c).alias("value")) for c in secured])
+    none = F.create_map().cast("map<string,string>")
+    properties = F.map_from_entries(F.filter(named, lambda p: F.length(p["value"]) > 0)) if secured else none
+    enabled = topics.where("enabled").select(F.col("cluster_config_id").alias("id"), F.trim("topic_name").alias("topic_name"))
     return (
         clusters.where("enabled")
+        .withColumn("properties", properties)
         .join(enabled, "id", "left")
         .groupBy("stream_id", "cluster_name", "bootstrap_servers")
-        .agg(F.array_sort(F.collect_set("topic_name")).alias("topics"))
+        .agg(F.array_sort(F.collect_set("topic_name")).alias("topics"), F.first("properties").alias("properties"))
     )
 
 
