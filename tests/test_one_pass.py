@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_rules import c, events, rule
+from tidewatch.operators import shared
 from tidewatch.operators.evaluate import evaluate_rules, hits_of
 from tidewatch.operators.match import FieldColumns, match_rules, trigger_of
 from tidewatch.operators.predicates import leaf, tree
@@ -55,7 +56,9 @@ def random_events(spark, rnd, n):
     return events(spark, rows[: n // 2]).unionByName(events(spark, rows[n // 2 :], source="T").withColumn("seq", F.col("seq") + n))
 
 
-def test_shared_matcher_equals_each_rule_alone(spark):
+@pytest.mark.parametrize("few", [0, 8, 1000])
+def test_shared_matcher_equals_each_rule_alone(spark, monkeypatch, few):
+    monkeypatch.setattr(shared, "FEW", few)
     rnd = random.Random(11)
     e = random_events(spark, rnd, 400).cache()
     rules = []

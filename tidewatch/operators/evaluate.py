@@ -19,7 +19,7 @@ from tidewatch.functions.values import duration_micros
 from tidewatch.operators import sequence
 from tidewatch.operators.match import FieldColumns, key_fields, key_value, match_units, required, route_test, trigger_groups
 from tidewatch.operators.predicates import leaf, leaves, names_of, quoted, tree
-from tidewatch.operators.scans import asof
+from tidewatch.operators.scans import asof, with_once
 from tidewatch.operators.shared import Unit
 
 #: A first arrival without a time-to-live is blocked for this long (microseconds, some 3,000 years).
@@ -268,7 +268,8 @@ class FirstPass:
         rows = match_units(events, [u for r in compiled for u in r.units()], self.fields, "rule_id")
         self.rows = rows.withColumn("partition_key", F.coalesce(*keys) if keys else F.lit(None).cast("string"))
         if self.stateful:
-            asked = self.rows.withColumn("_d", F.expr(_case(details, "NULL"))).select("*", "_d.*").drop("_d")
+            # Once per row, whatever is asked of it further on.
+            asked = with_once(self.rows, _d=F.expr(_case(details, "NULL"))).select("*", "_d.*").drop("_d")
             self.rows = asked.withColumn("_bits", F.lit(0).cast("bigint"))
 
     def member_bits(self, matched: Column) -> Column:

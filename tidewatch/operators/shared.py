@@ -18,10 +18,12 @@ from dataclasses import dataclass, field as member
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.predicates import COMPARE, EXACT_INTEGER, ISO_TIME, Fields, leaf
+from tidewatch.operators.predicates import COMPARE, EXACT_INTEGER, ISO_TIME, Fields, leaf, quoted
 from tidewatch.operators.scans import with_once
 
 WORD = 62
+#: A source with so few units is tested unit by unit, which costs less than looking up and intersecting sets.
+FEW = 8
 #: Entries of a text look-up in one bucket, and numbers in one step of a search.
 BUCKET, STEP = 4, 16
 ALL = "array<array<bigint>>"
@@ -201,6 +203,20 @@ class _Route:
         return F.when(F.exists("_bits", lambda w: w != 0), F.array_distinct(found) if len(set(self.names)) < len(self.names) else found)
 
 
+class _Few:
+    """The units of a source and version that has few of them."""
+
+    def __init__(self, units: list[Unit], fields: Fields):
+        self.tests = False
+        tests = [[*u.tests, *[leaf(e, fields) for e in u.leaves]] for u in units]
+        self.cases = [f"CASE WHEN {' AND '.join(t) or 'true'} THEN {quoted(u.name)} END" for u, t in zip(units, tests)]
+        self.repeated = len({u.name for u in units}) < len(units)
+
+    def left(self) -> Column:
+        found = F.array_compact(F.expr(f"array({', '.join(self.cases)})"))
+        return F.array_distinct(found) if self.repeated else found
+
+
 def by_route(routes: dict, build, none: Column) -> Column:
     whens = [F.when((F.col("source") == source) & (F.col("schema_version") == version), build(r)) for (source, version), r in routes.items()]
     return F.coalesce(*whens, none)
@@ -215,13 +231,16 @@ def match_units(events: DataFrame, units: list[Unit], fields: Fields, out: str)
     grouped = defaultdict(list)
     for unit in units:
         grouped[unit.route].append(unit)
-    routes = {route: _Route(us, fields) for route, us in grouped.items()}
+    routes = {route: (_Route if len(us) > FEW else _Few)(us, fields) for route, us in grouped.items()}
+    many = {route: r for route, r in routes.items() if isinstance(r, _Route)}
     if not routes:
         return fields.extract(events).withColumn(out, F.lit(None).cast("string")).where("false")
     words = F.array().cast("array<bigint>")
-    looked = with_once(fields.extract(events), _bits=by_route(routes, lambda r: r.passing(), words))
-    if any(r.tests for r in routes.values()):
-        looked = with_once(looked, _tested=by_route(routes, lambda r: r.tested(), F.array().cast("array<boolean>")))
+    looked = fields.extract(events)
+    if many:
+        looked = with_once(looked, _bits=by_route(many, lambda r: r.passing(), words))
+    if any(r.tests for r in many.values()):
+        looked = with_once(looked, _tested=by_route(many, lambda r: r.tested(), F.array().cast("array<boolean>")))
     found = by_route(routes, lambda r: r.left(), F.lit(None).cast("array<string>"))
     rest = [c for c in looked.columns if c not in ("_bits", "_tested")]
     # explode_outer: a plain explode would add a filter that looks everything up a second time.
