@@ -156,9 +156,9 @@ def repetitive(rng):
     return texts
 
 
-@pytest.mark.parametrize("crowd", [2, 2000])
-def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, crowd):
-    monkeypatch.setattr(repeats, "CROWD", crowd)
+@pytest.mark.parametrize("full", [2, 2000])
+def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, full):
+    monkeypatch.setattr(repeats, "FULL", full)
     texts = repetitive(random.Random(16))
     rows = list(enumerate(texts)) + [(5, texts[5]), (None, prose(random.Random(2), 80))]
     expected = Counter(((i,), *e) for (i, _), e in zip(rows, brute_removed([t for _, t in rows])))
@@ -167,6 +167,32 @@ def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, crowd):
     assert Counter(((r.doc_id,), r.n_bytes, len(r.spans), bytes(r.kept)) for r in got.collect()) == expected
 
 
+def test_own_columns_of_any_name_stay(spark):
+    rows = [(i, t, [i], f"own {i}", b"k", 0) for i, t in enumerate(["x" * 250, "y" * 10, None])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, marks array<bigint>, _text string, _key binary, Kept int")
+    got = repeats.remove_repeats(df)
+    assert got.columns == ["doc_id", "text", "marks", "_text", "_key", "n_bytes", "spans", "kept"]
+    assert {(r.doc_id, r.marks[0], r._text, bytes(r._key), len(r.kept)) for r in got.collect()} == {
+        (0, 0, "own 0", b"k", 0), (1, 1, "own 1", b"k", 10), (2, 2, "own 2", b"k", 0)
+    }
+
+
+def test_suffix_array_orders_windows():
+    rng = random.Random(24)
+    data = (prose(rng, 300) + "a" * 450 + prose(rng, 50) * 3 + "ab" * 150).encode()
+    starts = np.array(sorted(rng.sample(range(len(data) - repeats.LENGTH + 1), 700)))
+    order, rank = repeats.suffix_array(np.frombuffer(data, np.uint8), starts)
+    windows = [data[s : s + repeats.LENGTH] for s in starts[order]]
+    assert sorted(order) == list(range(700)) and windows == sorted(windows)
+    assert [a == b for a, b in zip(rank[1:], rank)] == [a == b for a, b in zip(windows[1:], windows)]
+
+
+def test_blocks_hold_whole_contexts(monkeypatch):
+    monkeypatch.setattr(repeats, "PLACES", 4)
+    context = np.array([1, 1, 2, 3, 3, 3, 4])
+    assert list(repeats.blocks(context, np.array([4, 4, 9, 3, 3, 3, 7]))) == [(0, 2), (2, 3), (3, 7)]
+
+
 def test_whole_characters_leave_text(spark, documents):
     texts = repetitive(random.Random(17))
     exact = brute_removed(texts)

@@ -76,6 +76,15 @@ def text_key(name: str = "text") -> Column:
     return F.unhex(F.md5(text_of(name)))
 
 
+def private(df: DataFrame, name: str) -> str:
+    """A name for a column of an operator's own that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_bucket(name: str, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(name).cast("string").cast("binary")) % modulus

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import drop_table, table, text_key, text_of
+from tidewatch.llm.common import drop_table, private, table, text_key, text_of
 
 #: Repeated strings of this many bytes go.
 LENGTH = 200
@@ -18,8 +18,12 @@ REACH = LENGTH - 2 * MARGIN - GRAM + 1
 NEAR, FAR = MARGIN, MARGIN + REACH - 1
 #: Documents are parsed in pieces of about so many bytes.
 PIECE = 1 << 20
-#: Phrases compared in one group; triggers with more distinct phrases are compared by window instead.
-GROUP, CROWD = 20_000, 2_000
+#: Phrases sorted in one group. A context with more than FULL phrases is cut into narrower slices first.
+GROUP, FULL = 20_000, 2_000
+#: Widths of the slices, in windows: a slice of one window is one string, so no context stays full.
+SLICES = (11, 1)
+#: Suffixes sorted at once, as a power of two: a rank, the rank behind it and a place fit 64 bits.
+PLACES = 20
 
 _random = np.random.default_rng(20)
 CODES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -144,25 +148,23 @@ def occurrences(documents: DataFrame) -> DataFrame:
 
 
 def phrase_bytes(documents: DataFrame, entries: DataFrame) -> DataFrame:
-    """``entries`` (``context``, ``phrase``, ``k1``, ``k2``, ``at``, ``n``, ``m``) with ``left`` (the bytes before the
-    trigger, last first) and ``right`` (those from it on)."""
+    """``entries`` (``context``, ``phrase``, ``k1``, ``k2``, ``at``, ``n``, ``m``) with their ``bytes``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 rows = batch.slice(at, 64).to_pylist()
-                out = {k: [] for k in ("context", "phrase", "at", "n", "m", "left", "right")}
+                out = {k: [] for k in ("context", "phrase", "at", "n", "m", "bytes")}
                 for row in rows:
                     data = row["text"].encode()
                     for e in row["entries"]:
                         place, near, far = e["at"] >> 16, e["at"] >> 8 & 255, e["at"] & 255
                         for k in ("context", "phrase", "at", "n", "m"):
                             out[k].append(e[k])
-                        out["left"].append(data[place - far : place][::-1])
-                        out["right"].append(data[place : place - near + LENGTH])
+                        out["bytes"].append(data[place - far : place - near + LENGTH])
                 yield pa.RecordBatch.from_pydict({
                     **{k: pa.array(out[k], pa.int64()) for k in ("context", "phrase", "at", "n", "m")},
-                    "left": pa.array(out["left"], pa.binary()), "right": pa.array(out["right"], pa.binary()),
+                    "bytes": pa.array(out["bytes"], pa.binary()),
                 })
 
     whole = documents.select(text_key().alias("key"), F.xxhash64("doc_id").alias("rid"), text_of().alias("text"))
@@ -173,105 +175,167 @@ def phrase_bytes(documents: DataFrame, entries: DataFrame) -> DataFrame:
     listed = listed.select(F.unhex(F.concat(little_endian_hex("k1"), little_endian_hex("k2"))).alias("key"), "entries")
     wanted = first.join(listed, "key").select("key", "rid", "entries")
     return whole.join(wanted, ["key", "rid"]).select("text", "entries").mapInArrow(
-        run, "context bigint, phrase bigint, at bigint, n bigint, m bigint, left binary, right binary"
+        run, "context bigint, phrase bigint, at bigint, n bigint, m bigint, bytes binary"
     )
 
 
-def ordered_prefixes(group: np.ndarray, strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the strings within their groups, and the common prefix of each with the one before (-1 for the
-    first of a group)."""
-    keys = [g + s for g, s in zip(group.astype(">u8").view("V8").tolist(), strings)]
-    order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
-    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    matrix = np.zeros((len(strings), width), np.uint8)
-    matrix[np.repeat(np.arange(len(strings)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = (
-        np.frombuffer(b"".join(strings), np.uint8)
-    )
-    before, after = matrix[order[:-1]], matrix[order[1:]]
-    differs = before != after
-    common = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-    common = np.minimum(common, np.minimum(sizes[order[:-1]], sizes[order[1:]]))
-    common[group[order[:-1]] != group[order[1:]]] = -1
-    return order, np.concatenate(([-1], common))
+def ranked(keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of their keys, and the rank of each key in that order (equal keys have one rank)."""
+    packed = np.sort(keys << np.uint64(PLACES) | place)
+    keys = packed >> np.uint64(PLACES)
+    return (packed & np.uint64((1 << PLACES) - 1)).astype(np.int64), np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1]))).astype(np.uint64)
 
 
-def repeated_windows(group: np.ndarray, at: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Which windows of each phrase occur again in its group: a row per phrase, a column per distance of the
-    trigger from the window's start.
+def suffix_array(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of ``data`` at ``starts`` (indices into it) in the order of their first LENGTH bytes, and their
+    ranks there: suffixes whose common prefix (LCP) reaches LENGTH are neighbours and have one rank.
 
-    The phrases are sorted by what stands before the trigger, backwards, and by what follows it. In both orders
-    equal parts of any length are neighbours, told by the common prefix with the neighbour; the pair of both
-    classes is the window.
+    Prefix doubling over all places: the order by some bytes and that of the places behind them give the order by
+    twice as many.
+    """
+    n, known = len(data), 5
+    place = np.arange(n, dtype=np.uint64)
+    padded = np.concatenate((data, np.zeros(known, np.uint8))).astype(np.uint64)
+    keys = np.zeros(n, np.uint64)
+    for k in range(known):
+        keys = keys << np.uint64(8) | padded[k : k + n]
+    rank = np.zeros(n, np.uint64)
+    while True:
+        order, found = ranked(keys, place)
+        rank[order] = found
+        step = min(known, LENGTH - known)
+        behind = np.zeros(n, np.uint64)
+        behind[: n - step] = rank[step:] + np.uint64(1)
+        keys = rank << np.uint64(PLACES + 1) | behind
+        known += step
+        if known == LENGTH:
+            return ranked(keys[starts], place[: len(starts)])
+
+
+def repeated_windows(at: np.ndarray, n: np.ndarray, phrases: list[bytes]) -> np.ndarray:
+    """Which windows of these phrases, of which the parse holds ``n`` each, occur more than once: a row per phrase,
+    a column per distance of the trigger from the window's start.
+
+    One suffix array holds the concatenated phrases. Only suffixes with LENGTH bytes left of their phrase are
+    windows; each counts as often as the parse holds its phrase.
     """
-    count = len(group)
-    by_left, common_left = ordered_prefixes(group, left, FAR)
-    by_right, common_right = ordered_prefixes(group, right, LENGTH - NEAR)
-    near, far = at >> 8 & 255, at & 255
-    found = np.zeros((count, REACH), bool)
-    a, b = np.zeros(count, np.int64), np.zeros(count, np.int64)
-    for o in range(NEAR, FAR + 1):
-        rows = np.flatnonzero((near <= o) & (o <= far))
-        if len(rows) < 2:
-            continue
-        a[by_left] = np.cumsum(common_left < o)
-        b[by_right] = np.cumsum(common_right < LENGTH - o)
-        _, which = np.unique(a[rows] * (count + 1) + b[rows], return_inverse=True)
-        found[rows, o - NEAR] = np.bincount(which, weights=n[rows])[which] > 1
+    far = at & 255
+    size = np.fromiter(map(len, phrases), np.int64, len(phrases))
+    windows = size - LENGTH + 1
+    owner = np.repeat(np.arange(len(phrases)), windows)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    order, rank = suffix_array(np.frombuffer(b"".join(phrases), np.uint8), (np.cumsum(size) - size)[owner] + step)
+    rank = rank.astype(np.int64)
+    again = order[np.bincount(rank, weights=n[owner[order]])[rank] > 1]
+    found = np.zeros((len(phrases), REACH), bool)
+    found[owner[again], far[owner[again]] - step[again] - NEAR] = True
     return found
 
 
-def compared(phrases: DataFrame, total: int) -> DataFrame:
+def blocks(context: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole contexts (sorted) of at most 2 ** PLACES bytes; FULL phrases of one context fit."""
+    ends = np.append(np.flatnonzero(context[1:] != context[:-1]) + 1, len(context))
+    before = np.concatenate(([0], np.cumsum(size)))
+    start = last = 0
+    for end in ends.tolist():
+        if before[end] - before[start] > 1 << PLACES:
+            yield start, last
+            start = last
+        last = end
+    yield start, last
+
+
+def by_suffix_arrays(phrases: DataFrame, total: int) -> DataFrame:
     """``context``, ``phrase`` and ``mask`` (a byte per window) of phrases with repeated windows, in groups of whole
-    triggers."""
+    contexts: equal windows have equal contexts."""
 
     def run(rows: pa.Table) -> pa.Table:
-        context, phrase, at, n = (rows[c].to_numpy() for c in ("context", "phrase", "at", "n"))
-        found = repeated_windows(context.view(np.uint64), at, n, rows["left"].to_pylist(), rows["right"].to_pylist())
-        hit = np.flatnonzero(found.any(axis=1))
-        return pa.table({
-            "context": pa.array(context[hit]), "phrase": pa.array(phrase[hit]),
-            "mask": pa.array([found[i].astype(np.uint8).tobytes() for i in hit], pa.binary()),
-        })
+        rows = rows.sort_by("context")
+        context, at, n = (rows[c].to_numpy() for c in ("context", "at", "n"))
+        data = rows["bytes"].to_pylist()
+        hits, masks = [], []
+        for start, end in blocks(context, np.fromiter(map(len, data), np.int64, len(data))):
+            found = repeated_windows(at[start:end], n[start:end], data[start:end])
+            own = np.flatnonzero(found.any(axis=1))
+            hits.append(own + start)
+            masks += [found[i].astype(np.uint8).tobytes() for i in own]
+        hit = pa.array(np.concatenate(hits))
+        return pa.table({"context": rows["context"].take(hit), "phrase": rows["phrase"].take(hit), "mask": pa.array(masks, pa.binary())})
 
     dealt = phrases.withColumn("deal", F.pmod(F.xxhash64("context"), F.lit(max(1, -(-total // GROUP)))))
     return dealt.groupBy("deal").applyInArrow(run, "context bigint, phrase bigint, mask binary")
 
 
-def compared_by_window(phrases: DataFrame) -> DataFrame:
-    """The same for triggers with more phrases than one task should hold: every window is a row, counted with
-    map-side combine."""
+def cut(phrases: DataFrame, width: int) -> DataFrame:
+    """The phrases cut into slices of ``width`` neighbouring windows, each a smaller phrase with a longer context:
+    the bytes that all windows of a slice hold. ``of_context`` and ``of_phrase`` name the phrase cut. A slice of
+    one window is told by its hashes and has no ``bytes``."""
 
-    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)
-                at = rows.column("at").to_numpy()
+                at, whole = rows.column("at").to_numpy(), rows.column("bytes").to_pylist()
                 near, far = at >> 8 & 255, at & 255
-                whole = [l[::-1] + r for l, r in zip(rows.column("left").to_pylist(), rows.column("right").to_pylist())]
-                data = np.frombuffer(b"".join(whole), np.uint8)
-                ends = np.cumsum([len(w) for w in whole])
-                origin = ends - [len(w) for w in whole]
-                sizes = far - near + 1
-                owner = np.repeat(np.arange(len(whole)), sizes)
-                step = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                begin = origin[owner] + step
-                first, second = Rolling(data), Rolling(data ^ np.uint8(0x5A))
+                size = np.fromiter(map(len, whole), np.int64, len(whole))
+                first, last = (near - NEAR) // width, (far - NEAR) // width
+                count = last - first + 1
+                owner = np.repeat(np.arange(len(whole)), count)
+                slot = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + first[owner]
+                low, high = NEAR + slot * width, NEAR + slot * width + width - 1
+                near, far = np.maximum(near[owner], low), np.minimum(far[owner], high)
+                trigger = (np.cumsum(size) - size + (at & 255))[owner]
+                begin, end = trigger - far, trigger - near + LENGTH
+                data = b"".join(whole)
+                values = np.frombuffer(data, np.uint8)
+                context = mixed(Rolling(values).of(trigger - low, trigger + LENGTH - high) + slot.astype(np.uint64) * MIX)
+                phrase = mixed(Rolling(values ^ np.uint8(0x5A)).of(begin, end) + far.astype(np.uint64) * MIX)
+                held = [b""] * len(owner) if width == 1 else [data[b:e] for b, e in zip(begin.tolist(), end.tolist())]
+                own = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("context").take(pa.array(owner)), rows.column("phrase").take(pa.array(owner)), rows.column("n").take(pa.array(owner)),
-                     pa.array(far[owner] - step), pa.array(first.of(begin, begin + LENGTH).view(np.int64)), pa.array(second.of(begin, begin + LENGTH).view(np.int64))],
-                    ["context", "phrase", "n", "o", "h1", "h2"],
+                    [rows.column("context").take(own), rows.column("phrase").take(own), rows.column("n").take(own), pa.array(context.view(np.int64)),
+                     pa.array(phrase.view(np.int64)), pa.array(near << 8 | far), pa.array(held, pa.binary())],
+                    ["of_context", "of_phrase", "n", "context", "phrase", "at", "bytes"],
                 )
 
-    windows = table(phrases.mapInArrow(spread, "context bigint, phrase bigint, n bigint, o bigint, h1 bigint, h2 bigint"), "repeat-windows")
-    again = windows.groupBy("h1", "h2").agg(F.sum("n").alias("_n")).where("_n > 1")
-    hits = windows.join(again, ["h1", "h2"]).groupBy("context", "phrase").agg(F.collect_set("o").alias("o"))
-    mask = F.transform(F.sequence(F.lit(NEAR), F.lit(FAR)), lambda i: F.when(F.array_contains("o", i.cast("bigint")), F.lit("01")).otherwise(F.lit("00")))
-    return hits.select("context", "phrase", F.unhex(F.array_join(mask, "")).alias("mask"))
+    return phrases.mapInArrow(
+        run, "of_context bigint, of_phrase bigint, n bigint, context bigint, phrase bigint, at bigint, bytes binary"
+    )
 
 
-def with_spans(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``marks``: for each phrase of the text that has repeated windows, its ``at`` and ``mask``
-    (null: all of them)."""
+def repeated(phrases: DataFrame, widths: tuple[int, ...] = SLICES) -> DataFrame:
+    """A table of ``context``, ``phrase`` and ``mask`` of the phrases (``context``, ``phrase``, ``at``, ``n``, ``m``,
+    ``bytes``) with repeated windows. ``m`` is the number of their context's phrases: where it is over FULL, the
+    phrases are cut into slices, which are phrases again, equal ones counted with map-side combine. A phrase has
+    a row for each of its slices then."""
+    few, crowd = phrases.where(F.col("m") <= FULL), phrases.where(F.col("m") > FULL)
+    found = by_suffix_arrays(few, few.count())
+    if crowd.isEmpty():
+        return table(found, "repeat-masks")
+    width, *narrower = widths
+    slices = table(cut(crowd, width), "repeat-slices")
+    own = ["context", "phrase"]
+    distinct = table(slices.groupBy(*own).agg(F.sum("n").alias("n"), F.first("at").alias("at"), F.first("bytes").alias("bytes")), "repeat-sliced")
+    if width == 1:
+        o = F.col("at").bitwiseAND(255).cast("int")
+        mask = F.concat(F.repeat(F.lit("00"), o - NEAR), F.lit("01"), F.repeat(F.lit("00"), F.lit(FAR) - o))
+        inside = table(distinct.where("n > 1").select(*own, F.unhex(mask).alias("mask")), "repeat-windows")
+    else:
+        again = table(distinct.groupBy("context").agg(F.count("*").alias("m"), F.sum("n").alias("_n")).where("_n > 1").drop("_n"), "repeat-contexts")
+        parts = table(distinct.join(again, "context"), "repeat-phrases")
+        inside = repeated(parts, tuple(narrower))
+        drop_table(again)
+        drop_table(parts)
+    named = slices.join(inside, own).select(F.col("of_context").alias("context"), F.col("of_phrase").alias("phrase"), "mask")
+    masks = table(found.unionByName(named), "repeat-masks")
+    for read in (slices, distinct, inside):
+        drop_table(read)
+    return masks
+
+
+def with_spans(documents: DataFrame, marks_name: str) -> DataFrame:
+    """``documents`` with a column of marks: for each phrase of the text that has repeated windows, its ``at`` and
+    ``mask`` (null: all of them)."""
     parsed = table(occurrences(documents), "repeat-parse")
     # A table of its own: both sides of the join are then plain shuffles, of which Spark splits the skewed ones.
     shared = table(parsed.groupBy("context").agg(F.count("*").alias("_n")).where("_n > 1").select("context"), "repeat-contexts")
@@ -280,21 +344,20 @@ def with_spans(documents: DataFrame) -> DataFrame:
     drop_table(parsed)
     counted = suspects.groupBy("context", "phrase").agg(F.sum("c").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("loc"))
     dictionary = table(counted, "repeat-dictionary")
-    many = dictionary.groupBy("context").agg(F.count("*").alias("m")).where("m > 1")
+    # A table between, as above.
+    many = table(dictionary.groupBy("context").agg(F.count("*").alias("m")).where("m > 1"), "repeat-contexts")
     entries = dictionary.join(many, "context").select("context", "phrase", "n", "m", "loc.*")
     phrases = table(phrase_bytes(documents, entries), "repeat-phrases")
-    few, crowd = phrases.where(F.col("m") <= CROWD), phrases.where(F.col("m") > CROWD)
-    masks = table(compared(few, few.count()).unionByName(compared_by_window(crowd)), "repeat-masks")
+    masks = repeated(phrases)
     drop_table(phrases)
     whole = dictionary.where("n > 1").select("context", "phrase", F.lit(None).cast("binary").alias("mask"))
     results = whole.unionByName(masks.join(whole.select("context", "phrase"), ["context", "phrase"], "left_anti"))
     marks = suspects.select(*own).join(results, ["context", "phrase"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
     by_text = table(marks, "repeat-marks")
-    drop_table(suspects)
-    drop_table(dictionary)
-    keyed = documents.withColumn("_key", text_key())
-    named = by_text.select(F.unhex(F.concat(little_endian_hex("k1"), little_endian_hex("k2"))).alias("_key"), "marks")
-    return keyed.join(named, "_key", "left").drop("_key")
+    for read in (suspects, dictionary, shared, many, masks):
+        drop_table(read)
+    key, found = private(documents, "key"), F.unhex(F.concat(little_endian_hex("k1"), little_endian_hex("k2")))
+    return documents.withColumn(key, text_key()).join(by_text.select(found.alias(key), F.col("marks").alias(marks_name)), key, "left").drop(key)
 
 
 def little_endian_hex(name: str) -> Column:
@@ -330,7 +393,7 @@ def remove_repeats(documents: DataFrame, whole_characters: bool = False) -> Data
     Texts are taken as UTF-8 bytes, a null text as empty; strings do not cross documents, may overlap, and are
     judged on the input. With ``whole_characters`` a character goes as soon as one of its bytes does, so that
     ``kept`` is text again. Rows stay, repeated ones too: a copy of a whole row repeats all its strings. Texts
-    under 200 bytes stay as they are. Columns of the names above are replaced.
+    under 200 bytes stay as they are. Columns of the three names above are replaced; all others stay.
 
     Prefix-free parsing, spread over the cluster:
 
@@ -338,16 +401,17 @@ def remove_repeats(documents: DataFrame, whole_characters: bool = False) -> Data
        in exactly one phrase, at a place its own bytes decide (:func:`parse`).
     2. Equal phrases, counted with map-side combine, form the dictionary. A phrase whose trigger's context occurs
        once in the corpus is dropped here; one that occurs twice as a whole is repeated throughout.
-    3. Only triggers with several different phrases are left. Their phrases are sorted by their bytes before and
-       after the trigger, which orders the strings of that trigger; neighbours with enough bytes in common
-       are repeats (:func:`repeated_windows`). A trigger with over ``CROWD`` phrases goes by counts of its windows' hashes.
+    3. Only contexts with several different phrases are left, dealt to groups of whole contexts. Each block of a group
+       concatenates its phrases into one suffix array; each suffix counts as often as the parse holds its phrase, and
+       neighbours whose LCP reaches 200 are repeats (:func:`repeated_windows`). Phrases of a context with more than ``FULL`` of
+       them are first cut into slices with longer contexts, down to single windows (:func:`repeated`).
     4. What is found for a phrase holds for all places of the parse where it stands.
 
-    No suffix array of the dictionary or of the parse is built, and none combine into one order of the corpus: equal
-    strings share a trigger, so the order inside a trigger decides what repeats, and a global one would need one place.
+    A window never leaves its phrase, so of the parse only the counts of its phrases enter the order of the dictionary.
     """
-    kept_columns = [c for c in documents.columns if c not in ("n_bytes", "spans", "kept", "marks", "_text", "_key")]
-    marked = with_spans(documents.select(*kept_columns)).withColumn("_text", text_of())
+    kept_columns = [c for c in documents.columns if c.lower() not in ("n_bytes", "spans", "kept")]
+    text_name, marks_name = private(documents, "text"), private(documents, "marks")
+    marked = with_spans(documents.select(*kept_columns), marks_name).withColumn(text_name, text_of())
     schema = marked.select(
         *kept_columns, F.lit(0).cast("bigint").alias("n_bytes"),
         F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end"))).alias("spans"), F.lit(b"").alias("kept"),
@@ -359,7 +423,7 @@ def remove_repeats(documents: DataFrame, whole_characters: bool = False) -> Data
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sizes, spans, left = [], [], []
-                for text, marks in zip(part.column("_text").to_pylist(), part.column("marks").to_pylist()):
+                for text, marks in zip(part.column(text_name).to_pylist(), part.column(marks_name).to_pylist()):
                     data = text.encode()
                     starts, ends = spans_of(len(data), marks)
                     if whole_characters and len(starts):
@@ -373,7 +437,7 @@ def remove_repeats(documents: DataFrame, whole_characters: bool = False) -> Data
                     [*kept_columns, "n_bytes", "spans", "kept"],
                 )
 
-    return marked.select(*kept_columns, "_text", "marks").mapInArrow(run, schema)
+    return marked.select(*kept_columns, text_name, marks_name).mapInArrow(run, schema)
 
 
 def to_characters(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
