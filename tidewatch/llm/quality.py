@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import text_of
+from tidewatch.llm.common import private, text_of
 
 DOCUMENTS_PER_BATCH = 512
 CACHED_TOKENS = 150_000
@@ -198,7 +198,7 @@ def score(documents: DataFrame, voters: Voters | None, text_column: str = "text"
     against a document. Rows, repeated ones too, and columns stay; a column ``score`` is replaced.
     One pass without a shuffle.
     """
-    kept = [c for c in documents.columns if c not in ("score", "_text")]
+    kept, own_text = [c for c in documents.columns if c.lower() != "score"], private(documents, "text")
     if voters is None:
         return documents.select(*kept, F.lit(1.0).alias("score"))
     shared = documents.sparkSession.sparkContext.broadcast(voters)
@@ -210,8 +210,8 @@ def score(documents: DataFrame, voters: Voters | None, text_column: str = "text"
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_PER_BATCH):
                 part = batch.slice(at, DOCUMENTS_PER_BATCH)
-                rows = weighted(terms.counts(part.column("_text").to_pylist()), own.idf)
+                rows = weighted(terms.counts(part.column(own_text).to_pylist()), own.idf)
                 got = np.clip(own.score(rows), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(got, pa.float64())], [*kept, "score"])
 
-    return documents.select(*kept, text_of(text_column).alias("_text")).mapInArrow(run, schema)
+    return documents.select(*kept, text_of(text_column).alias(own_text)).mapInArrow(run, schema)

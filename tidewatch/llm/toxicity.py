@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm.common import text_of
+from tidewatch.llm.common import private, text_of
 
 WORD = re.compile(r"\w+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -196,7 +196,7 @@ def score(documents: DataFrame, model: Model | None, text_column: str = "text")
     or empty text has the bias alone. Without a model (nothing to learn from) every score is 0. Rows, repeated
     ones too, and columns stay; a column ``score`` is replaced. One pass without a shuffle.
     """
-    kept = [c for c in documents.columns if c not in ("score", "_text")]
+    kept, own_text = [c for c in documents.columns if c.lower() != "score"], private(documents, "text")
     if model is None:
         return documents.select(*kept, F.lit(0.0).alias("score"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -208,7 +208,7 @@ def score(documents: DataFrame, model: Model | None, text_column: str = "text")
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_PER_BATCH):
                 part = batch.slice(at, DOCUMENTS_PER_BATCH)
-                places, sizes = features.of(part.column("_text").to_pylist())
+                places, sizes = features.of(part.column(own_text).to_pylist())
                 # Only places with a weight matter; a place counts once per text.
                 if own.dense is None:
                     own.score(places[:0], sizes[:0])
@@ -217,4 +217,4 @@ def score(documents: DataFrame, model: Model | None, text_column: str = "text")
                 got = own.score((pairs & ((1 << own.bits) - 1)), np.bincount(pairs >> own.bits, minlength=len(sizes)))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(got, pa.float64())], [*kept, "score"])
 
-    return documents.select(*kept, text_of(text_column).alias("_text")).mapInArrow(run, schema)
+    return documents.select(*kept, text_of(text_column).alias(own_text)).mapInArrow(run, schema)
