@@ -64,6 +64,17 @@ def test_awkward_documents_pass_every_stage(spark, sf_dir):
         assert sum(p.length for p in pipeline.STAGES[-1][1](spark, table, sf_dir).collect()) >= len(kept)
 
 
+def test_own_columns_stay_in_filtering_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).selectExpr(
+        "*", "doc_id + 0.5 AS Score", "doc_id AS _text", "doc_id AS spans", "doc_id AS kept", "doc_id AS marks"
+    )
+    for name in ("toxicity", "quality", "repeats"):
+        got = dict(pipeline.STAGES)[name](spark, docs, sf_dir)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert rows and all((r.Score, r._text, r.spans, r.kept, r.marks) == (r.doc_id + 0.5, *[r.doc_id] * 4) for r in rows)
+
+
 def test_widened_runs_hold_whole_characters():
     data = "aé日b".encode()  # a, two bytes, three bytes, b
     for start in range(len(data)):
