@@ -156,9 +156,10 @@ def repetitive(rng):
     return texts
 
 
-@pytest.mark.parametrize("full", [2, 2000])
-def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, full):
+@pytest.mark.parametrize("full, hot", [(2, 3), (2000, 10_000)])
+def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, full, hot):
     monkeypatch.setattr(repeats, "FULL", full)
+    monkeypatch.setattr(repeats, "HOT", hot)
     texts = repetitive(random.Random(16))
     rows = list(enumerate(texts)) + [(5, texts[5]), (None, prose(random.Random(2), 80))]
     expected = Counter(((i,), *e) for (i, _), e in zip(rows, brute_removed([t for _, t in rows])))

@@ -20,6 +20,8 @@ NEAR, FAR = MARGIN, MARGIN + REACH - 1
 PIECE = 1 << 20
 #: Phrases sorted in one group. A context with more than FULL phrases is cut into narrower slices first.
 GROUP, FULL = 20_000, 2_000
+#: The rows of a context that stands more often than this in the corpus are joined and counted apart from the others.
+HOT = 10_000
 #: Widths of the slices, in windows: a slice of one window is one string, so no context stays full.
 SLICES = (11, 1)
 #: Suffixes sorted at once, as a power of two: a rank, the rank behind it and a place fit 64 bits.
@@ -337,14 +339,19 @@ def with_spans(documents: DataFrame, marks_name: str) -> DataFrame:
     """``documents`` with a column of marks: for each phrase of the text that has repeated windows, its ``at`` and
     ``mask`` (null: all of them)."""
     parsed = table(occurrences(documents), "repeat-parse")
-    # A table of its own: both sides of the join are then plain shuffles, of which Spark splits the skewed ones.
-    shared = table(parsed.groupBy("context").agg(F.count("*").alias("_n")).where("_n > 1").select("context"), "repeat-contexts")
+    shared = table(parsed.groupBy("context").agg(F.count("*").alias("_n")).where("_n > 1"), "repeat-contexts")
+    hot = table(shared.where(F.col("_n") > HOT).select("context"), "repeat-hot-contexts")
     own = ["context", "phrase", "k1", "k2", "at"]
-    suspects = table(parsed.join(shared, "context").groupBy(*own).agg(F.count("*").alias("c")), "repeat-suspects")
+    # A join by context and an aggregate by more share one shuffle, which Spark can't split where a context is skewed.
+    # Hot contexts are few (their table is small); their rows are counted by all columns, with map-side combine.
+    crowded = table(parsed.join(hot, "context"), "repeat-crowded")
+    others = parsed.join(hot, "context", "left_anti").join(shared.where(F.col("_n") <= HOT).select("context"), "context")
+    counts = [rows.groupBy(*own).agg(F.count("*").alias("c")) for rows in (others, crowded)]
+    suspects = table(counts[0].unionByName(counts[1]), "repeat-suspects")
     drop_table(parsed)
     counted = suspects.groupBy("context", "phrase").agg(F.sum("c").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("loc"))
     dictionary = table(counted, "repeat-dictionary")
-    # A table between, as above.
+    # A table between: both sides of the join are then plain shuffles, of which Spark splits the skewed ones.
     many = table(dictionary.groupBy("context").agg(F.count("*").alias("m")).where("m > 1"), "repeat-contexts")
     entries = dictionary.join(many, "context").select("context", "phrase", "n", "m", "loc.*")
     phrases = table(phrase_bytes(documents, entries), "repeat-phrases")
@@ -354,7 +361,7 @@ def with_spans(documents: DataFrame, marks_name: str) -> DataFrame:
     results = whole.unionByName(masks.join(whole.select("context", "phrase"), ["context", "phrase"], "left_anti"))
     marks = suspects.select(*own).join(results, ["context", "phrase"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
     by_text = table(marks, "repeat-marks")
-    for read in (suspects, dictionary, shared, many, masks):
+    for read in (suspects, dictionary, shared, hot, crowded, many, masks):
         drop_table(read)
     key, found = private(documents, "key"), F.unhex(F.concat(little_endian_hex("k1"), little_endian_hex("k2")))
     return documents.withColumn(key, text_key()).join(by_text.select(found.alias(key), F.col("marks").alias(marks_name)), key, "left").drop(key)
