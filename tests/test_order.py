@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import profile, sequence
 from tidewatch.operators.features import apply_corrections, latest_partition, latest_with_status
-from tidewatch.operators.scans import asof, prior_max, with_once
+from tidewatch.operators.scans import asof, in_pieces, prior_max, with_once
 
 
 def rows_of(n, seed=1, hot=0.4, span=2000):
@@ -72,6 +72,36 @@ def test_asof_against_brute_force(spark, forward, slot):
     assert {r.id: r.found for r in got.collect()} == {x[0]: best(x[1], x[2]) for x in left}
 
 
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("piece_rows", [1, 6])
+def test_asof_over_pieces_of_a_slot(spark, forward, piece_rows):
+    """Cutting a slot changes no answer, with ties across and inside pieces and keys or times that are null."""
+    left, right = rows_of(150, seed=7, span=300), rows_of(80, seed=8, span=300) + [(900, None, 5, "A"), (902, "hot", None, "A")]
+    left += [(901, None, 50, "A"), (903, "hot", None, "A")]
+
+    def best(k, t):
+        if k is None or t is None:
+            return None
+        near = [(y[2], y[0]) for y in right if y[1] == k and y[2] is not None and (y[2] >= t if forward else y[2] <= t)]
+        return (min(near) if forward else max(near))[1] if near else None
+
+    got = asof(frame(spark, left), frame(spark, right), ["k"], "t", "t", F.col("id"), "found", 100_000, forward, F.col("id"), piece_rows)
+    rows = got.collect()
+    assert len(rows) == len(left) and {r.id: r.found for r in rows} == {x[0]: best(x[1], x[2]) for x in left}
+
+
+def test_a_full_slot_is_cut_at_equal_depth(spark):
+    """All rows of one key in one slot, most of them in a short burst: pieces of about equal size, in the order of time."""
+    lines = spark.range(4000).selectExpr("'hot' k", "CASE WHEN id < 3000 THEN 500000 + id DIV 2 ELSE id * 200 END _t")
+    lines = lines.unionByName(spark.range(5).selectExpr("'cold' k", "id _t"))
+    got = in_pieces(lines, ["k"], 1_000_000, 100).groupBy("k", "_slot", "_piece").agg(F.count("*").alias("n"), F.min("_t").alias("a"), F.max("_t").alias("b")).collect()
+    assert [(r._piece, r.n) for r in got if r.k == "cold"] == [(0, 5)]
+    hot = sorted((r.a, r.b, r._piece, r.n) for r in got if r.k == "hot")
+    # A fine part of this slot is 244 wide, so at most 488 rows of the burst stand in one.
+    assert len(hot) > 8 and max(n for *_, n in hot) <= 100 + 488 and sum(n for *_, n in hot) == 4000
+    assert all(x[1] < y[0] and x[2] < y[2] for x, y in zip(hot, hot[1:]))
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 1000])
 @pytest.mark.parametrize("descending", [False, True])
 def test_prior_max_against_brute_force(spark, chunk, descending):

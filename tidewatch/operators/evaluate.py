@@ -19,7 +19,7 @@ from tidewatch.functions.values import duration_micros
 from tidewatch.operators import sequence
 from tidewatch.operators.match import FieldColumns, key_fields, key_value, match_units, required, route_test, trigger_groups
 from tidewatch.operators.predicates import leaf, leaves, names_of, quoted, tree
-from tidewatch.operators.scans import asof, with_once
+from tidewatch.operators.scans import asof, ensure_checkpoint_dir, with_once
 from tidewatch.operators.shared import Unit
 
 #: A first arrival without a time-to-live is blocked for this long (microseconds, some 3,000 years).
@@ -302,7 +302,7 @@ def hits_of(
     term = lambda test: F.exists("terms", test)
     if any(r.sequences or r.arrivals for r in stateful):
         # What is left is read several times, by everything that needs order.
-        sequence.ensure_checkpoint_dir(events.sparkSession)
+        ensure_checkpoint_dir(events.sparkSession)
         waiting = term(lambda m: _holds(m, F.col("_bits").bitwiseOR(_order_bits(stateful)))) | (F.size("seconds") > 0) | F.col("terms").isNull()
         rows = rows.where(waiting).select(*out, "terms", "firsts", "seconds", "arrivals", "_bits").checkpoint()
         if any(r.sequences for r in stateful):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions.values import text
 from tidewatch.operators.scans import asof
-from tidewatch.operators.sequence import ensure_checkpoint_dir
+from tidewatch.operators.scans import ensure_checkpoint_dir
 
 PROFILE_TTL_MS = 36 * 3600 * 1000
 HOUR = 3_600_000_000

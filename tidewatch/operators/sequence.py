@@ -7,11 +7,10 @@ a hot key is cut along time (see ``scans``).
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.scans import asof
+from tidewatch.operators.scans import asof, ensure_checkpoint_dir
 
 HOUR = 3_600_000_000
 # Width of the time slots a key is spread over: a key seen through a month has over 4,000 of them.
@@ -108,20 +107,6 @@ def _accepted_of_hot(rows: DataFrame, keys: list[str], ttl: int | str, periods:
     return reached.select(*keys, "_t", "_tie")
 
 
-def ensure_checkpoint_dir(spark) -> None:
-    """Uses the shared folder the cluster names."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
-def shared_dir(spark) -> str:
-    """The folder in ``spark.checkpoint.dir``. Only a session in one process may go without the setting."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return named or tempfile.mkdtemp(prefix="tidewatch-")
-
-
 def cooldown(hits: DataFrame, seconds: dict[str, int], time: str, tie: str, cold_rows: int = COLD_ROWS) -> DataFrame:
     """Hits (``rule_id``, ``partition_key``) without those that fall inside the silence after an emitted
     hit of the same rule and key. ``seconds`` is the silence per rule; without one every hit stays,

@@ -17,7 +17,7 @@ from tidewatch.functions.keys import in_countries, normalize_key
 from tidewatch.functions.values import (
     field, is_object_text, snapshot_millis, text,
 )
-from tidewatch.operators.scans import CHUNK_ROWS, prior_max, with_once
+from tidewatch.operators.scans import CHUNK_ROWS, kept, prior_max, with_once
 from tidewatch.operators.schemas import Registry
 
 # The envelope fields that must be present, in report order, and the sync modes.
@@ -235,7 +235,7 @@ def check_batch(
 
     ``order`` is the arrival sequence. ``as_of`` stands in for a snapshot time that does not parse,
     unless ``strict`` rejects it. ``marks`` (``dataset_name``, ``mark``) are the latest snapshots already
-    seen, for input that comes in pieces. One shuffle of the data, by dataset and arrival chunk.
+    seen, for input that comes in pieces. Each payload is parsed once and kept; one shuffle of the data, by dataset and arrival chunk.
     """
     reg = Registry.of(schemas)
     env = _envelope(df).withColumn(
@@ -269,7 +269,7 @@ def check_batch(
 
     # Rows rejected as stale lie below the running mark, so the mark is a plain running maximum.
     gated = prior_max(
-        staged, ["dataset_name"], order, F.when(F.col("_early").isNull(), F.col("snapshot_ms")), "_mark", chunk_rows, initial=marks
+        kept(staged), ["dataset_name"], order, F.when(F.col("_early").isNull(), F.col("snapshot_ms")), "_mark", chunk_rows, initial=marks
     )
     has_data = F.coalesce(F.startswith(F.schema_of_variant("data"), F.lit("OBJECT")), F.lit(False))
     not_delete = F.col("sync_mode") != "DELETE"

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from tidewatch.operators.sequence import shared_dir
+from tidewatch.operators.scans import shared_dir
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
