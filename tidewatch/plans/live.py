@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.values import epoch_micros
-from tidewatch.plans import fixtures as fx
+from tidewatch.plans import catalogue as listed, fixtures as fx
 from tidewatch.operators.match import FieldColumns, events_of, match_rules, partition_key
 from tidewatch.operators.profile import PROFILE_TTL_MS
 from tidewatch.plans.matching import AMOUNT, MATCH_SQL, TREE_RULES, cond, rule, text_sql
@@ -14,7 +14,11 @@ from tidewatch.plans.profiles import EVENT_KEYS, FOLD, SAME_VALUE, same_value
 from tidewatch.plans.registry import ctes, events_sql, phone_sql, query
 from tidewatch.plans.sequences import SIX_HOURS, greedy_sql
 from tidewatch.plans.validation import STREAM_CHECK, as_of, batch_registry, batch_sql, stream_registry, valid_batch
+from tidewatch.operators.rules import live_rules, parse_rules
+from tidewatch.plans.registry import ORACLES
+from tidewatch.sources.changes import GONE, parsed_changes
 from tidewatch.streaming import ordered, pipeline
+from tidewatch.streaming.catalogue import Catalogue, keep, latest
 from tidewatch.streaming.rules import rule_stream
 from tidewatch.streaming.folders import new_folder
 
@@ -221,3 +225,44 @@ def stream_catalogue_live(spark, sf_dir):
     folder = new_folder(spark, "catalogue")
     finish(rule_stream(events, rules, folder, "t", "seq", lists))
     return spark.read.parquet(f"{folder}/hits").select("seq", "rule_id")
+
+
+# ------------------------------------------------ catalogues kept by change streams
+
+
+def in_turns(spark, changes: DataFrame, name: str, fold, turns: int = 4) -> Catalogue:
+    """The catalogue after its change stream came in turns, each a query of its own from the same checkpoint."""
+    folder = new_folder(spark, name)
+    newest = changes.agg(F.max("seq")).first()[0] or 0
+    for turn in range(turns):
+        part = changes.where(F.floor((F.col("seq") - 1) * turns / (newest + 1)).between(turn if turn else -1, turn))
+        part.write.mode("append").parquet(f"{folder}/changes")
+        finish(keep(spark.readStream.schema(changes.schema).parquet(f"{folder}/changes"), fold, f"{folder}/catalogue"))
+    return Catalogue(spark, f"{folder}/catalogue", changes.where("false"))
+
+
+@query("stream_rule_catalogue_live", ORACLES["rule_log_current"])
+def stream_rule_catalogue_live(spark, sf_dir):
+    return in_turns(spark, fx.view(spark, sf_dir, listed.CHANGES), "rules", live_rules)().select("rule_id", "version", "seq")
+
+
+@query("stream_schema_catalogue_live", ORACLES["schema_changes_current"])
+def stream_schema_catalogue_live(spark, sf_dir):
+    changes = parsed_changes(fx.view(spark, sf_dir, listed.SCHEMA_CHANGES), "schema_id string, schema_payload string")
+    return in_turns(spark, changes, "schemas", latest(["schema_id"], "seq", GONE))().select("seq", "schema_id", "schema_payload")
+
+
+@query("stream_match_catalogue_live", MATCH_SQL)
+def stream_match_catalogue_live(spark, sf_dir):
+    import json
+
+    # The first version of each rule hits nothing; the catalogue that the events meet holds the second.
+    never = {"conditions": [[cond("amount", "<", 0), cond("amount", ">", 0)]]}
+    blocked = [{**r, "trigger_criteria": [{**t, **never} for t in r["trigger_criteria"]]} for r in TREE_RULES]
+    rows = [(1 + i, r["rule_id"], json.dumps(r), 1 + i // len(TREE_RULES), True, "false", "c") for i, r in enumerate([*blocked, *TREE_RULES])]
+    changes = spark.createDataFrame(rows, "seq bigint, rule_id string, rule_json string, version bigint, enabled boolean, deleted string, op string")
+    kept = in_turns(spark, changes, "rules", live_rules, 2)
+    rules = Catalogue(spark, kept.folder, changes.where("false"), parse_rules)
+    folder = new_folder(spark, "match")
+    finish(pipeline.rule_matching(stream_table(spark, sf_dir, "events"), rules, folder, view_of("events", fx.STREAM)))
+    return spark.read.parquet(f"{folder}/hits").select("seq", "rule_id")

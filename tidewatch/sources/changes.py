@@ -26,10 +26,18 @@ def rule_changes(records: DataFrame, order: str = "seq", text: str = "payload")
     )
 
 
+#: Whether a change takes its row away.
+GONE = "lower(coalesce(__deleted, 'false')) = 'true' OR lower(coalesce(__op, '')) = 'd'"
+
+
+def parsed_changes(records: DataFrame, columns: str, order: str = "seq", text: str = "payload") -> DataFrame:
+    """Change records with ``columns`` (a schema) of the changed row and the connector's own two (see ``GONE``)."""
+    change = F.from_json(text, f"{columns}, __deleted string, __op string")
+    return records.select(order, change.alias("c")).select(order, "c.*")
+
+
 def schema_changes(records: DataFrame, order: str = "seq", text: str = "payload") -> DataFrame:
     """The schema table after its change records: the last state of each id, deleted ones gone."""
-    change = F.from_json(text, "schema_id string, schema_payload string, __deleted string, __op string")
-    rows = records.select(order, change.alias("c")).select(order, "c.*").where("schema_id is not null")
+    rows = parsed_changes(records, "schema_id string, schema_payload string", order, text).where("schema_id is not null")
     last = rows.groupBy("schema_id").agg(F.max_by(F.struct(*rows.columns), order).alias("_l")).select("_l.*")
-    gone = (F.lower(F.coalesce("__deleted", F.lit("false"))) == "true") | (F.lower(F.coalesce("__op", F.lit(""))) == "d")
-    return last.where(~gone).select(order, "schema_id", "schema_payload")
+    return last.where(~F.expr(GONE)).select(order, "schema_id", "schema_payload")

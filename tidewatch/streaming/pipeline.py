@@ -114,18 +114,26 @@ def compact_deltas(spark: SparkSession, folder: str, upto: int, target: str) ->
 
 
 def rule_matching(
-    records: DataFrame, rule_log: Callable[[SparkSession], DataFrame], folder: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, profile_datasets: set[str] = frozenset(), **trigger,
+    records: DataFrame, rule_log: Callable[[SparkSession], DataFrame | list[dict]], folder: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, profile_datasets: set[str] = frozenset(),
+    layouts: Callable[[SparkSession], DataFrame] | None = None, **trigger,
 ) -> StreamingQuery:
-    """Stateless rule hits to ``folder/hits``; the live catalogue is folded anew for each micro-batch.
+    """Stateless rule hits to ``folder/hits``. ``rule_log`` is asked in each micro-batch: a change log is folded anew,
+    a list of rules (of a :class:`~tidewatch.streaming.catalogue.Catalogue`) is taken as it is.
 
-    Rules with a sequence, a first arrival, a dataset or a field of ``profile_datasets`` need state and take no part."""
+    With ``layouts`` (see :func:`~tidewatch.operators.report.map_output_by_table`), asked in each micro-batch as well,
+    ``folder/output`` holds the hits' records, their ``value`` as JSON. Rules with a sequence, a first arrival, a dataset or a field of ``profile_datasets`` need state and take no part."""
 
     def work(batch: DataFrame, epoch: int) -> None:
-        live = parse_rules(live_rules(rule_log(batch.sparkSession)))
+        live = rule_log(batch.sparkSession)
+        live = live if isinstance(live, list) else parse_rules(live_rules(live))
         rules = [r for r in live if rule_class(r, profile_datasets, triggers=True) == "STATELESS"]
         hits = match_rules(events_of(prepare(batch)), rules)
         write_epoch(hits.select("seq", "rule_id"), f"{folder}/hits", epoch)
+        if layouts is not None:
+            shown = hits.select("seq", "rule_id", F.to_json("event").alias("payload"))
+            mapped = report.map_output_by_table(shown, layouts(batch.sparkSession), ["seq", "rule_id"])
+            write_epoch(mapped.select("seq", "rule_id", "value"), f"{folder}/output", epoch)
 
     return start(records, work, f"{folder}/checkpoint", **trigger)
 
