@@ -102,8 +102,8 @@ def test_components_of_chains_and_stars(spark):
 def test_top_k_equals_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(topk, "CHUNK", chunk)
     rng = random.Random(10)
-    rows = [r for r in awkward(rng, 80) if r[0] != 2] + [(500 + k, [0.5, 0.25, 0.0, 0.0, 0.0, -0.125]) for k in range(25)] + [(600, [100.0, -3.0, 0, 0, 0, 0])]
-    whole = [(i, [math.floor(1024 * x) for x in v] + [0] * (6 - len(v))) for i, v in rows if usable(v) and i is not None]
+    rows = [r for r in awkward(rng, 80) if r[0] != 2] + [(500 + k, [0.5, 0.25, 0.0, 0.0, 0.0, -0.125]) for k in range(25)] + [(600, [100.0, -3.0, 0, 0, 0, 0]), (605, [])]
+    whole = [(i, [math.floor(1024 * x) for x in v] + [0] * (6 - len(v))) for i, v in rows if (v == [] or usable(v)) and i is not None]
     expected = []
     for q, v in whole:
         if q % 5 == 0:
@@ -128,6 +128,27 @@ def test_the_first_round_alone_is_not_trusted(spark, monkeypatch):
     assert got == sorted(expected)
 
 
+def test_empty_vectors_score_zero(spark):
+    below = topk.top_k(vectors(spark, [(1, []), (2, [-1.0, -1.0]), (3, [1.0, 2.0])]), F.col("id") == 3).collect()
+    assert sorted(map(tuple, below)) == [(3, 1, 1, 0), (3, 2, 2, -3 * 1024 * 1024)]
+    alone = topk.top_k(vectors(spark, [(1, []), (2, []), (3, None)]), F.lit(True)).collect()
+    assert sorted(map(tuple, alone)) == [(1, 1, 2, 0), (2, 1, 1, 0)]
+
+
+def test_chunks_reach_only_the_blocks_that_visit_them(spark, monkeypatch):
+    """Many blocks of queries and chunks: the answers stay those of brute force."""
+    monkeypatch.setattr(topk, "CHUNK", 8)
+    rng = random.Random(12)
+    rows = [(i, [float(np.float32(rng.gauss(0, 1))) for _ in range(4)]) for i in range(120)]
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    got = topk.top_k(vectors(spark, rows), F.col("id") % 3 == 0, k=4).collect()
+    expected = []
+    for q, v in whole[::3]:
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:4]
+        expected += [(q, k, i, -s) for k, (s, i) in enumerate(scored, 1)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
 def test_scores_too_large_are_refused(spark):
     with pytest.raises(Exception, match="too large"):
         topk.top_k(vectors(spark, [(0, [3e6]), (1, [1.0])]), F.lit(True)).collect()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.llm.common import table
+from tidewatch.llm.common import drop_table, table
 from tidewatch.llm.vectors import matrix, packed_vectors
 
 SCALE = 1024
@@ -68,7 +68,7 @@ def quantised(embeddings: DataFrame, id_column: str, vector_column: str) -> Data
                 raise ValueError("a component is too large for exact integer scores")
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "v"])
 
-    usable = packed_vectors(embeddings, id_column, vector_column).where(F.col("v").isNotNull() & F.col("id").isNotNull())
+    usable = packed_vectors(embeddings, id_column, vector_column, empty=True).where(F.col("v").isNotNull() & F.col("id").isNotNull())
     return usable.mapInArrow(run, f"id {usable.schema['id'].dataType.simpleString()}, v binary")
 
 
@@ -161,7 +161,7 @@ def best_of_chunks(
     index: DataFrame, visits_: DataFrame, pivots: Broadcast, cells: Broadcast, width: int, k: int, parts: int,
 ) -> DataFrame:
     """The ``k`` best of each visited chunk for each query: ``query``, ``id``, ``score``. Queries are dealt into
-    ``parts``, each with its own copy of the chunk, so that both sides of a group are bounded.
+    ``parts``, each with its own copy of the chunks that they visit, so that both sides of a group are bounded.
 
     A chunk is sorted by distance from its pivot. A query with a worst score reads only the stretch around its
     own distance that the triangle inequality leaves. Products are of whole numbers below 2**53, so they are exact.
@@ -202,8 +202,9 @@ def best_of_chunks(
         return pa.table({"query": pa.array(out["query"], kind), "id": pa.array(out["id"], kind), "score": pa.array(out["score"], pa.int64())})
 
     blocks = visits_.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     keys = ["cell", "chunk", "block"]
+    # A table between, so that the join has two plain sides.
+    spread = index.join(table(blocks.select(*keys).distinct(), "topk-visited"), ["cell", "chunk"])
     return blocks.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(run, f"query {id_type}, id {id_type}, score bigint")
 
 
@@ -223,8 +224,8 @@ def top_k(
     ``vec_id``, ``score``.
 
     Every component becomes floor(1024 x). Candidates are all rows but those of the query's own id; equal scores
-    go to the smaller id. A vector that is null, empty or holds a null or non-finite component, and a row without
-    an id, take no part. A shorter vector counts as filled up with zeros. A query id whose rows hold several
+    go to the smaller id. A vector that is null or holds a null or non-finite component, and a row without
+    an id, take no part. A shorter vector, also an empty one, counts as filled up with zeros. A query id whose rows hold several
     vectors asks with the smallest one. A component of 2**21 or more in size is an error, as scores would
     not be exact. Fewer candidates than ``k`` give fewer rows.
 
@@ -244,7 +245,7 @@ def top_k(
     result = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not shape.n:
         return spark.createDataFrame([], result)
-    width = shape.w // 8
+    width = max(1, shape.w // 8)
 
     def squares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,6 +271,7 @@ def top_k(
 
     queries = rows.where(is_query).groupBy(F.col("id").alias("query")).agg(F.min("v").alias("v"))
     asked = table(queries.withColumn("worst", F.lit(None).cast("bigint")), "topk-queries")
+    drop_table(rows)
     parts = max(1, -(-asked.count() // CHUNK))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

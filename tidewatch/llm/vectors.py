@@ -9,16 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 
-def packed_vectors(embeddings: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``id`` and ``v``: the components as little-endian doubles, null for a vector that is null, empty or holds
-    a null or non-finite component. Negative zeros become zeros."""
+def packed_vectors(embeddings: DataFrame, id_column: str, vector_column: str, empty: bool = False) -> DataFrame:
+    """``id`` and ``v``: the components as little-endian doubles, null for a vector that is null, empty (unless ``empty``) or
+    holds a null or non-finite component. Negative zeros become zeros."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for v in batch.column("v").to_pylist():
                 row = None
-                if v and None not in v:
+                if (v or empty and v is not None) and None not in v:
                     values = np.array(v, np.float64) + 0.0
                     if np.isfinite(values).all():
                         row = values.tobytes()
